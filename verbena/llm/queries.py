@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch, table
-from . import format_copies, term_counts
+from . import bpe_automaton, format_copies, mixing, term_counts
+
+#: The folder of the public vocabularies.
+TOKENIZERS = os.environ.get("VERBENA_TOKENIZERS", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+#: Fixed value: how byte_bpe_50k splits text before its merges.
+BYTE_BPE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: How many days before the newest arrival the last delta of p2 starts.
 LAST_DELTA_DAYS = 7
@@ -50,11 +57,33 @@ def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p2_counts(spark, sf_dir)
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_automaton.with_ids(documents, "text", BYTE_BPE, BYTE_BPE_SPLIT)
+
+
+def _p8_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").filter("source is not null").select("doc_id", "source", "text")
+    return mixing.token_sizes(bpe_automaton.with_token_count(documents, "text", BYTE_BPE, BYTE_BPE_SPLIT))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_p8_sizes(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes, targets = _p8_sizes(spark, sf_dir), table(spark, sf_dir, "mix_targets")
+    return mixing.shares(sizes, mixing.mix(sizes, targets), targets)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
     "p2_counts": p2_counts,
+    "p7_ids": p7_ids,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
 }
 
 _P1 = r"""
