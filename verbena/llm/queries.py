@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch, table
-from . import bpe_automaton, format_copies, mixing, term_counts
+from . import bpe_automaton, encoding_repair, format_copies, mixing, term_counts
 
 #: The folder of the public vocabularies.
 TOKENIZERS = os.environ.get("VERBENA_TOKENIZERS", "/opt/tokenizers")
@@ -57,6 +57,24 @@ def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p2_counts(spark, sf_dir)
 
 
+def _p4_garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries, changes = table(spark, sf_dir, "localized_entries"), table(spark, sf_dir, "change_records")
+    records = entries.select(F.lit("localized_entries").alias("table_name"), "row_id", F.col("m_localized").alias("text")).unionByName(
+        changes.select(F.lit("change_records").alias("table_name"), F.col("change_id").alias("row_id"), F.col("antes").alias("text"))
+    )
+    # answers are clean twins of the texts handed in
+    repair = encoding_repair.learn(records.select("text").unionByName(changes.select(F.col("depois").alias("text"))))
+    return encoding_repair.garbled_records(records, repair)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p4_garbled(spark, sf_dir).select("table_name", "row_id")
+
+
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p4_garbled(spark, sf_dir).select("table_name", "row_id", "restored", "restorable")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_automaton.with_ids(documents, "text", BYTE_BPE, BYTE_BPE_SPLIT)
@@ -81,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_copies": p1_copies,
     "p2_found": p2_found,
     "p2_counts": p2_counts,
+    "p4_found": p4_found,
+    "p4_restored": p4_restored,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
