@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch, table
-from . import bpe_automaton, encoding_repair, format_copies, mixing, term_counts
+from . import bpe_automaton, encoding_repair, format_copies, mixing, term_counts, visual_forms
 
 #: The folder of the public vocabularies.
 TOKENIZERS = os.environ.get("VERBENA_TOKENIZERS", "/opt/tokenizers")
@@ -75,6 +75,21 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p4_garbled(spark, sf_dir).select("table_name", "row_id", "restored", "restorable")
 
 
+def _p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields, entries = table(spark, sf_dir, "dialogue_fields"), table(spark, sf_dir, "localized_entries")
+    return fields.select(F.lit("dialogue_fields").alias("table_name"), F.col("field_id").alias("row_id"), F.col("field_value").alias("text")).unionByName(
+        entries.select(F.lit("localized_entries").alias("table_name"), "row_id", F.col("m_localized").alias("text"))
+    )
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visual_forms.changed_records(_p6_records(spark, sf_dir), "text").select("table_name", "row_id")
+
+
+def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visual_forms.one_form(_p6_records(spark, sf_dir), "text").select("table_name", "row_id", "form")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_automaton.with_ids(documents, "text", BYTE_BPE, BYTE_BPE_SPLIT)
@@ -101,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_counts": p2_counts,
     "p4_found": p4_found,
     "p4_restored": p4_restored,
+    "p6_found": p6_found,
+    "p6_forms": p6_forms,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
