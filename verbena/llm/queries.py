@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch, table
-from . import bpe_automaton, encoding_repair, format_copies, mixing, term_counts, visual_forms
+from . import bpe_automaton, encoding_repair, format_copies, languages, mixing, term_counts, visual_forms
 
 #: The folder of the public vocabularies.
 TOKENIZERS = os.environ.get("VERBENA_TOKENIZERS", "/opt/tokenizers")
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 #: Fixed value: how byte_bpe_50k splits text before its merges.
 BYTE_BPE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -109,6 +110,26 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(sizes, mixing.mix(sizes, targets), targets)
 
 
+def _p9_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, languages.PieceModels]:
+    documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "lang_labels")
+    return documents, labels, languages.learn(documents, labels, PIECES)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels, models = _p9_models(spark, sf_dir)
+    return languages.label_faults(languages.with_languages(documents, models), labels).select("doc_id", "kind", "lang")
+
+
+def p9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _, models = _p9_models(spark, sf_dir)
+    return languages.with_languages(documents, models).select("doc_id", F.col("detected").alias("lang"), "confidence", F.size("langs").alias("n_langs"))
+
+
+def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _, models = _p9_models(spark, sf_dir)
+    return languages.with_segments(documents, models)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
@@ -121,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_languages": p9_languages,
+    "p9_segments": p9_segments,
 }
 
 _P1 = r"""
