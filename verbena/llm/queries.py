@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch, table
-from . import bpe_automaton, encoding_repair, format_copies, languages, mixing, term_counts, visual_forms
+from . import bpe_automaton, encoding_repair, format_copies, languages, mixing, pair_defects, term_counts, visual_forms
 
 #: The folder of the public vocabularies.
 TOKENIZERS = os.environ.get("VERBENA_TOKENIZERS", "/opt/tokenizers")
@@ -76,6 +76,12 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p4_garbled(spark, sf_dir).select("table_name", "row_id", "restored", "restorable")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = table(spark, sf_dir, "change_records").select("change_id", "source_text", "antes", "depois")
+    judge = pair_defects.learn(changes, table(spark, sf_dir, "documents"), table(spark, sf_dir, "lang_labels"), "antes")
+    return pair_defects.pair_defects(changes, judge, "change_id", "antes", "depois", "source_text")
+
+
 def _p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields, entries = table(spark, sf_dir, "dialogue_fields"), table(spark, sf_dir, "localized_entries")
     return fields.select(F.lit("dialogue_fields").alias("table_name"), F.col("field_id").alias("row_id"), F.col("field_value").alias("text")).unionByName(
@@ -137,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_counts": p2_counts,
     "p4_found": p4_found,
     "p4_restored": p4_restored,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_forms": p6_forms,
     "p7_ids": p7_ids,
