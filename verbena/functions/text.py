@@ -170,11 +170,11 @@ ENCODING_FAULTS = {
 
 def encoding_faults(text: Column) -> Column:
     """An array of (type, match) over all detectors."""
-    found = [
-        F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), lambda m, kind=kind: F.struct(F.lit(kind).alias("type"), m.alias("match")))
-        for kind, pattern in ENCODING_FAULTS.items()
-    ]
-    return F.flatten(F.array(*found))
+
+    def found(kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), lambda m: F.struct(F.lit(kind).alias("type"), m.alias("match")))
+
+    return F.flatten(F.array(*[found(kind, pattern) for kind, pattern in ENCODING_FAULTS.items()]))
 
 
 def code_points(text: Column) -> Column:

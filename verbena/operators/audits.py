@@ -70,7 +70,7 @@ def untranslated(exported: DataFrame, output: DataFrame, memory: DataFrame, exce
     matched = F.when(F.col("bucket") == "partial_english", partial).when(F.col("bucket") == "untranslated", T.lexicon_hits(F.col("source"), lexicon.STRONG_ENGLISH))
     translated = F.col("bucket").isin("partial_english", "translated")
     return rows.select(
-        "source", "target", "occurrences", "first_line", "bucket", F.array_join(matched, ",").alias("matched"),
+        "source", "target", "occurrences", "first_line", "bucket", F.array_join(F.array_sort(matched), ",").alias("matched"),
         (F.col("output_as_source") & (F.col("bucket") == "untranslated")).alias("still_english"),
         (F.col("output_as_source") & translated).alias("not_in_output"),
     )

@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import parse_failures
+from .functions import lexicon
+from .functions import text as T
+from .functions import tokens as K
+from .operators import audits, coverage, guards, lookup, maintenance, parse_failures, placeholders, rules
+from .queries_sql import SQL as _SQL
 from .session import table
+from .sources import dumps, memories, sinks
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +26,399 @@ def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_failures.loaded(raw, tables)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_loaded": p3_loaded}
+# The tables as memories, entries and dumps
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "change_records")
+    return c.select("change_id", F.col("source_text").alias("source"), F.col("antes").alias("before"), F.col("depois").alias("after"), F.col("decisao").alias("decision"), F.col("sugestao").alias("suggestion"), F.col("motivo").alias("reason"))
+
+
+def _versions(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """A memory: the last text of each source, `before` or `after` the change."""
+    rows = _changes(spark, sf_dir).filter("source is not null").select(F.lit("changes").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col(column).alias("target"))
+    return memories.last_wins(rows)
+
+
+def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _versions(spark, sf_dir, "after")
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "missing_text").select("row_id", "flow", "asset", "table_name", F.col("source_text").alias("source"))
+
+
+def _general_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "localized_entries").filter("m_id is not null and m_localized is not null")
+    two = F.array(F.concat(F.lit("0 SInt64 m_Id = "), "m_id"), F.concat(F.lit('1 string m_Localized = "'), T.escape_dump(F.col("m_localized")), F.lit('"')))
+    return rows.select(F.col("asset_file").alias("file"), "row_id", F.posexplode(two).alias("i", "line")).select("file", (F.col("row_id") * 2 + F.col("i")).alias("line_no"), "line")
+
+
+def _dialogue_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    named = lambda name, c: F.concat(F.lit(f'1 string {name} = "'), T.escape_dump(F.col(c)), F.lit('"'))
+    four = F.array(F.lit("0 Field data"), named("title", "field_title"), named("value", "field_value"), named("typeString", "type_string"))
+    return f.select(F.concat(F.lit("conversation-"), F.col("conversation_id").cast("string")).alias("file"), "field_id", F.posexplode(four).alias("i", "line")).select("file", (F.col("field_id") * 4 + F.col("i")).alias("line_no"), "line")
+
+
+def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'en' and field_value is not null")
+    a = table(spark, sf_dir, "actors").select("actor_id", F.col("actor_name"))
+    return f.select("field_id", "conversation_id", "actor_id", F.col("field_value").alias("source")).join(F.broadcast(a), "actor_id", "left")  # the cast is a fixed table
+
+
+def _portuguese(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'pt-BR' and field_value is not null")
+    return f.select(F.col("field_id").alias("ord"), F.col("field_value").alias("source"), F.col("field_value").alias("target"), "actor_id")
+
+
+def coverage_by_flow(spark, sf_dir):
+    return coverage.by_flow(_entries(spark, sf_dir), _memory(spark, sf_dir))
+
+
+def missing_texts_by_asset(spark, sf_dir):
+    return coverage.missing_texts(_entries(spark, sf_dir), _memory(spark, sf_dir))
+
+
+def missing_by_source(spark, sf_dir):
+    return coverage.missing_texts(_entries(spark, sf_dir), _memory(spark, sf_dir)).groupBy("source").agg(F.sum("occ_count").alias("occurrences"), F.count_distinct("asset").alias("assets"))
+
+
+def memory_states(spark, sf_dir):
+    return lookup.exact(_entries(spark, sf_dir), _memory(spark, sf_dir)).select("row_id", "state")
+
+
+def memory_fallback(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'en'").select("field_id", F.col("field_value").alias("source"))
+    return lookup.fallback(f, _memory(spark, sf_dir)).select("field_id", "target", "matched")
+
+
+def memory_layers(spark, sf_dir):
+    c = _changes(spark, sf_dir).filter("source is not null")
+    layer = lambda column: memories.last_wins(c.select(F.lit("m").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col(column).alias("target")))
+    e = _entries(spark, sf_dir).select("row_id", "source")
+    return lookup.layered(e, [("manual", layer("suggestion")), ("auto", layer("after")), ("translator", layer("before"))]).select("row_id", "target", "layer")
+
+
+def targets_known(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").select("row_id", "m_localized")
+    return lookup.known_targets(e, _memory(spark, sf_dir), "m_localized").select("row_id", "known")
+
+
+def table_coverage(spark, sf_dir):
+    e = _entries(spark, sf_dir).filter("flow = 'chef'").select("row_id", "table_name", F.col("source").alias("en"))
+    own = _versions(spark, sf_dir, "before").select(F.col("source").alias("en"), F.col("target").alias("br"))
+    return coverage.by_table(e.join(own, "en", "left"), _memory(spark, sf_dir))
+
+
+def memory_diff(spark, sf_dir):
+    reviewed = memories.last_wins(_changes(spark, sf_dir).filter("source is not null and decision is not null").select(F.lit("m").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col("before").alias("target")))
+    answered = memories.last_wins(_changes(spark, sf_dir).filter("source is not null and suggestion is null").select(F.lit("m").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col("after").alias("target")))
+    return maintenance.difference(reviewed, answered)
+
+
+def memory_review_status(spark, sf_dir):
+    return maintenance.review_status(_versions(spark, sf_dir, "before"), _memory(spark, sf_dir))
+
+
+def merge_outcomes(spark, sf_dir):
+    return maintenance.merged(_versions(spark, sf_dir, "before"), _memory(spark, sf_dir)).select("source", "target", "outcome")
+
+
+def _patch(spark, sf_dir):
+    rows = _changes(spark, sf_dir).filter("source is not null and suggestion is not null")
+    return memories.last_wins(rows.select(F.lit("p").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col("suggestion").alias("target")))
+
+
+def patch_outcomes(spark, sf_dir):
+    texts = memories.last_wins(_entries(spark, sf_dir).filter("source is not null").select(F.lit("m").alias("memory_id"), F.col("row_id").alias("ord"), "source", F.col("source").alias("target")))
+    return maintenance.patch_outcomes(texts, _patch(spark, sf_dir))
+
+
+def patched_memory(spark, sf_dir):
+    return maintenance.patched(_memory(spark, sf_dir), _patch(spark, sf_dir)).select("source", "target")
+
+
+def reverted_memory(spark, sf_dir):
+    log = _versions(spark, sf_dir, "before").select("source", F.col("target").alias("before"))
+    keys = _changes(spark, sf_dir).filter("upper(decision) = 'REPROVAR'").select("source")
+    return maintenance.reverted(_memory(spark, sf_dir), log, keys)[0].select("source", "target")
+
+
+def pending_texts(spark, sf_dir):
+    return maintenance.pending(_entries(spark, sf_dir).filter("source is not null").select("row_id", "source"), _memory(spark, sf_dir))
+
+
+def first_wins_entries(spark, sf_dir):
+    e = _entries(spark, sf_dir).filter("source is not null").select(F.col("flow").alias("memory_id"), F.col("row_id").alias("ord"), "source", F.col("asset").alias("target"))
+    return memories.first_wins(e)
+
+
+def upserted_memory(spark, sf_dir):
+    old = memories.last_wins(_entries(spark, sf_dir).filter("source is not null").select(F.lit("m").alias("memory_id"), F.col("row_id").alias("ord"), "source", F.lit("").alias("target")))
+    return maintenance.upserted(old, _memory(spark, sf_dir))
+
+
+def keys_in_several_assets(spark, sf_dir):
+    return maintenance.duplicate_keys(_entries(spark, sf_dir).filter("source is not null").select("source", F.col("asset").alias("file")))
+
+
+def repaired_keys(spark, sf_dir):
+    d = table(spark, sf_dir, "localized_entries").select(F.col("m_localized").alias("source")).filter("source is not null")
+    a = d.select(T.escape_controls(F.col("source")).alias("source"))
+    return maintenance.repaired_keys(d, a)
+
+
+def answer_id_check(spark, sf_dir):
+    asked = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'en' and actor_id is not null").select(F.col("actor_id").alias("id"))
+    return maintenance.id_check(table(spark, sf_dir, "actors").select(F.col("actor_id").alias("id")), asked)
+
+
+def table_set_gate(spark, sf_dir):
+    found = _entries(spark, sf_dir).filter("table_name is not null").select("table_name").distinct()
+    return maintenance.set_gate(table(spark, sf_dir, "scan_tables").select("table_name"), found)
+
+
+def review_batches(spark, sf_dir):
+    return maintenance.batch_report(maintenance.batches(_memory(spark, sf_dir).select("source", "target"), 50, "source"))
+
+
+def positional_pairs(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    side = lambda title: f.filter(F.col("field_title") == title).select("conversation_id", "field_id", "field_value")
+    return maintenance.positional(side("en"), side("pt-BR"), ("conversation_id",), "field_id").select("conversation_id", "place", "field_id", "field_id_right", "field_value_right")
+
+
+def context_index(spark, sf_dir):
+    c = _contexts(spark, sf_dir).filter("source <> ''")
+    entry = F.struct("field_id", F.concat_ws(":", F.col("conversation_id").cast("string"), F.coalesce("actor_name", F.lit("?"))).alias("t"))
+    return c.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["t"]), ";").alias("contexts"))
+
+
+def single_speakers(spark, sf_dir):
+    c = _contexts(spark, sf_dir).filter("actor_name is not null")
+    return c.groupBy("source").agg(F.min("actor_name").alias("speaker"), F.max("actor_name").alias("_o")).filter("speaker = _o").select("source", "speaker")
+
+
+def dump_entries(spark, sf_dir):
+    return dumps.localized_entries(_general_dump(spark, sf_dir)).select("file", "id", "text")
+
+
+def dump_field_blocks(spark, sf_dir):
+    return dumps.field_blocks(_dialogue_dump(spark, sf_dir)).select("file", "block_id", "title", "value", "type_string")
+
+
+def dump_english_values(spark, sf_dir):
+    return dumps.adjacent_values(_dialogue_dump(spark, sf_dir)).select("file", "line_no", "value", "status")
+
+
+def dump_rewritten(spark, sf_dir):
+    lines = _general_dump(spark, sf_dir)
+    m = table(spark, sf_dir, "change_records").filter("antes is not null").groupBy(T.escape_dump(F.col("antes")).alias("_k")).agg(F.max("depois").alias("_new"))
+    pattern = r'^(\s*1 string m_Localized = ")(.*)("\s*)$'
+    joined = lines.withColumn("_value", dumps.captured(F.col("line"), pattern, 2)).join(m, F.col("_value") == F.col("_k"), "left")
+    return dumps.rewritten(joined, pattern, T.escape_dump(T.clean_for_dump(F.col("_new")))).select("file", "line_no", "line")
+
+
+def relevant_files(spark, sf_dir):
+    return audits.relevant_files(dumps.field_blocks(_dialogue_dump(spark, sf_dir)))
+
+
+def rule_counts(spark, sf_dir):
+    return rules.rule_counts(spark, rules.audited(_memory(spark, sf_dir)))
+
+
+def rule_candidates(spark, sf_dir):
+    found = rules.candidates(rules.audited(_portuguese(spark, sf_dir)))
+    return rules.in_review_order(found).select("ord", "rank", F.array_join("reasons.id", ",").alias("ids"))
+
+
+def rule_categories(spark, sf_dir):
+    return rules.category_counts(rules.audited(_portuguese(spark, sf_dir)))
+
+
+def gender_mismatches(spark, sf_dir):
+    pt = _portuguese(spark, sf_dir)
+    cast = table(spark, sf_dir, "actors").select(F.col("actor_name").alias("name"), F.when(F.col("gender") == "f", "feminino").when(F.col("gender") == "m", "masculino").alias("gender"), "actor_id")
+    contexts = pt.join(F.broadcast(cast), "actor_id", "left").select("source", F.col("name").alias("actor_name"), F.lit(None).cast("string").alias("conversant_name"))
+    memory = pt.select("source", "target").distinct()
+    audit = rules.with_gender_reasons(memory.withColumn("reasons", F.filter(F.array(rules._reason(rules.RULES[0])), lambda _: F.lit(False))), contexts, cast)
+    return audit.filter("size(reasons) > 0").select("source", F.array_join("reasons.id", ",").alias("ids"))
+
+
+def encoding_findings(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").select(F.col("m_id").alias("source"), F.col("m_localized").alias("target"))
+    return audits.encoding_findings(e).groupBy("source", "side", "type").agg(F.count("*").alias("n"))
+
+
+def punctuation_warnings(spark, sf_dir):
+    return audits.punctuation_warnings(_memory(spark, sf_dir))
+
+
+def values_clean(spark, sf_dir):
+    return audits.values_are_clean(audits.encoding_findings(_memory(spark, sf_dir)))
+
+
+def untranslated_buckets(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'en' and field_value is not null")
+    exported = f.select(F.col("conversation_id").alias("file"), F.col("field_id").alias("place"), F.col("field_id").alias("line_no"), F.col("field_value").alias("value"))
+    names = table(spark, sf_dir, "actors").select(F.col("actor_name").alias("source"), F.col("actor_name").alias("target"), F.col("actor_id").cast("long").alias("ord"))
+    memory = memories.last_wins(_memory(spark, sf_dir).select("source", "target", "ord").unionByName(names).withColumn("memory_id", F.lit("m"))).drop("memory_id", "ord")
+    return audits.untranslated(exported, exported, memory)
+
+
+def name_findings(spark, sf_dir):
+    names = [r.actor_name for r in table(spark, sf_dir, "actors").select("actor_name").distinct().orderBy("actor_name").collect()]  # the cast is a fixed table
+    return audits.name_findings(_memory(spark, sf_dir), names, {names[0]: [names[0], names[1]]} if len(names) > 1 else None)
+
+
+def relocated_names(spark, sf_dir):
+    names = table(spark, sf_dir, "actors").select(F.col("actor_name").alias("source"))
+    files = table(spark, sf_dir, "localized_entries").select(F.col("asset_file").alias("name"), F.col("m_localized").alias("text"))
+    return coverage.relocation(names, files)
+
+
+def guard_outcomes(spark, sf_dir):
+    c = _changes(spark, sf_dir)
+    return guards.guarded(c, {"winter map": "mapa do inverno"}, ["dedal de prata"], ["Viduba", "Zomune"]).select("change_id", "guard", "result")
+
+
+def decisions(spark, sf_dir):
+    return guards.decided(_changes(spark, sf_dir)).select("change_id", "decision", "suggestion")
+
+
+def decision_counts(spark, sf_dir):
+    return guards.decision_counts(guards.decided(_changes(spark, sf_dir)))
+
+
+def corrected_texts(spark, sf_dir):
+    pt = _portuguese(spark, sf_dir)
+    cast = table(spark, sf_dir, "actors").select("actor_id", F.when(F.col("gender") == "f", "feminino").when(F.col("gender") == "m", "masculino").alias("gender"))
+    one = pt.join(F.broadcast(cast), "actor_id", "left").groupBy("source").agg(F.min("gender").alias("gender"), F.max("gender").alias("_o")).filter("gender = _o").drop("_o")
+    manual = table(spark, sf_dir, "change_records").filter("antes is not null and depois is not null").groupBy(F.col("antes").alias("source")).agg(F.max("depois").alias("target"))
+    return guards.corrected(pt.select("ord", "source", "target"), one, manual).select("ord", "corrected", "fault")
+
+
+def placeholder_reasons(spark, sf_dir):
+    return placeholders.reason_counts(table(spark, sf_dir, "localized_entries"), "m_localized")
+
+
+def placeholder_names(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    braced = lambda family, c: F.concat(F.lit("{" + family + "."), F.regexp_replace(c, "[^A-Za-z0-9]", ""), F.lit("}"))
+    value = (
+        F.when(F.col("p_size") <= 10, F.concat_ws(" ", F.lit("{EffectFoodCommon.Food_Perfect}"), "p_name"))
+        .when(F.col("p_size") <= 20, F.concat_ws(" ", braced("InteriorPropTheme", "p_brand"), "p_name"))
+        .when(F.col("p_size") <= 30, F.concat_ws(" ", braced("People", "p_brand"), braced("InteriorPropBasicName", "p_type")))
+        .when(F.col("p_size") <= 40, F.concat_ws(" ", braced("BroomstickTheme", "p_brand"), F.lit("{BroomstickCommon.Broomstick_Name}")))
+        .otherwise(F.concat_ws(" ", "p_name", braced("InteriorPropBasicName", "p_type")))
+    )
+    return p.select("p_partkey", placeholders.reordered(value).alias("r")).select("p_partkey", "r.value", "r.changed", "r.reason")
+
+
+def technical_tokens(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    return f.select("field_id", F.array_join(T.technical_tokens(F.col("field_value")), "~").alias("tokens"), F.array_join(T.token_signature(F.col("field_value")), "~").alias("signature"))
+
+
+def stripped_texts(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    return f.select("field_id", T.strip_technical(F.col("field_value")).alias("stripped"), T.strip_for_names(F.col("field_value")).alias("for_names"))
+
+
+def word_counts(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    return f.select("field_title", F.explode(T.words(F.col("field_value"))).alias("word")).groupBy("field_title", "word").agg(F.count("*").alias("n"))
+
+
+def lexicon_hits(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    hits = lambda entries: F.size(T.lexicon_hits(F.col("field_value"), entries))
+    return f.select("field_id", hits(lexicon.STRONG_ENGLISH).alias("strong"), hits(lexicon.PARTIAL_ENGLISH).alias("partial"))
+
+
+def text_predicates(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields")
+    v = F.col("field_value")
+    return f.select("field_id", T.is_blank(v).alias("blank"), T.usable(v).alias("usable"), T.translatable(v).alias("translatable"), T.technical(v).alias("technical"), T.has_cjk(v).alias("cjk"), T.passes_through(v).alias("passes"))
+
+
+def escaped_texts(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    v = F.col("m_localized")
+    return e.select("row_id", T.escape_dump(v).alias("dump"), T.escape_controls(v).alias("controls"), T.escape_markdown(v).alias("markdown"), T.csv_cell(v).alias("cell"), (T.unescape(T.escape_dump(v)) == v).alias("same"))
+
+
+def cleaned_texts(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    v = F.col("m_localized")
+    return e.select("row_id", T.normalize_punctuation(v).alias("punctuation"), T.squeeze(v).alias("squeezed"), T.clean_for_dump(v).alias("cleaned"), T.comparable_key(v).alias("comparable"))
+
+
+def repaired_texts(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    v = F.col("m_localized")
+    return e.select("row_id", T.repair_guarded(v).alias("repaired"), F.size(T.variants(v)).alias("forms"))
+
+
+def protected_texts(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    p, t = K.protect(F.col("field_value"), K.MARKUP), K.tokens_of(F.col("field_value"), K.MARKUP)
+    return f.select("field_id", p.alias("protected"), F.size(t).alias("tokens"), K.restore(p, t, K.MARKUP).alias("restored"))
+
+
+def text_sentences(spark, sf_dir):
+    e = table(spark, sf_dir, "missing_text").filter("source_text is not null")
+    return e.select("row_id", F.posexplode(T.sentences(F.col("source_text"))).alias("n", "sentence"))
+
+
+def table_lines(spark, sf_dir):
+    e = _entries(spark, sf_dir).filter("table_name is not null").select("table_name", F.col("row_id").alias("row_no"), F.array(F.col("row_id").cast("string"), F.coalesce("source", F.lit(""))).alias("cells"))
+    return sinks.csv_lines(e)
+
+
+def report_lines(spark, sf_dir):
+    return sinks.markdown_rows(_changes(spark, sf_dir), "change_id", "before", "after")
+
+
+def memory_json_lines(spark, sf_dir):
+    return sinks.json_lines(_memory(spark, sf_dir)).select("ord", "line")
+
+
+def artifact_state(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    bundle = lambda df: df.select(F.lit("geral").alias("flow"), F.col("m_id").alias("name"), F.sha2("m_localized", 256).alias("sha256")).groupBy("flow", "name").agg(F.max("sha256").alias("sha256"))
+    return coverage.artifact_state(bundle(e), bundle(e.filter("loaded_at < exported_at + interval 1 day")))
+
+
+def stale_outputs(spark, sf_dir):
+    names = table(spark, sf_dir, "missing_text").select(F.concat(F.lit("translated-"), "asset").alias("name")).distinct()
+    exports = table(spark, sf_dir, "localized_entries").select(F.col("asset_file").alias("name")).distinct()
+    return sinks.quarantine(names, exports)
+
+
+def status_rollup(spark, sf_dir):
+    c = coverage_by_flow(spark, sf_dir).agg(F.sum("missing").alias("m"), F.sum("empty").alias("e"))
+    known = targets_known(spark, sf_dir).agg(F.count_if(~F.col("known")).alias("u"))
+    metrics = coverage.metric(c, "missing", "m").unionByName(coverage.metric(c, "empty", "e")).unionByName(coverage.metric(known, "unknown_targets", "u"))
+    return coverage.status(coverage.expectations(metrics, {"missing": 0, "empty": 0, "unknown_targets": 0}))
+
+
+def event_properties(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("total"))
+
+
+_NAMED = (
+    p3_found, p3_loaded, coverage_by_flow, missing_texts_by_asset, missing_by_source, memory_states, memory_fallback, memory_layers, targets_known, table_coverage,
+    memory_diff, memory_review_status, merge_outcomes, patch_outcomes, patched_memory, reverted_memory, pending_texts, first_wins_entries, upserted_memory,
+    keys_in_several_assets, repaired_keys, answer_id_check, table_set_gate, review_batches, positional_pairs, context_index, single_speakers, dump_entries,
+    dump_field_blocks, dump_english_values, dump_rewritten, relevant_files, rule_counts, rule_candidates, rule_categories, gender_mismatches, encoding_findings,
+    punctuation_warnings, values_clean, untranslated_buckets, name_findings, relocated_names, guard_outcomes, decisions, decision_counts, corrected_texts,
+    placeholder_reasons, placeholder_names, technical_tokens, stripped_texts, word_counts, lexicon_hits, text_predicates, escaped_texts, cleaned_texts, repaired_texts,
+    protected_texts, text_sentences, table_lines, report_lines, memory_json_lines, artifact_state, stale_outputs, status_rollup, event_properties,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _NAMED}
 
 _FIELD = '("([^"]|"")*"|[^",]*)'
 _P3_PARSED = f"""
@@ -48,6 +446,7 @@ r as (
   from v)
 """
 SQL: dict[str, str] = {
+    **_SQL,
     "p3_found": _P3_PARSED + "select line_id, reason from r where reason is not null",
     "p3_loaded": _P3_PARSED
     + "select line_id, c[1] as table_name, c[2] as entry_key, c[3] as source_text, cast(c[4] as integer) as row_no, cast(c[5] as integer) as occ_count from r where reason is null",
