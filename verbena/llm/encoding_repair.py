@@ -303,4 +303,4 @@ def garbled_records(records: DataFrame, repair: Repair, text_col: str = "text")
             texts = [r for _, r in found]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string()), pa.array([not LOST.search(r) for r in texts], pa.bool_())], names=[*kept, "restored", "restorable"])
 
-    return records.select(*kept).filter(F.col(text_col).rlike(r"[^\x00-\x7F]")).mapInArrow(judge, schema)
+    return records.select(*[F.col(f"`{c}`") for c in kept]).filter(F.col(f"`{text_col}`").rlike(r"[^\x00-\x7F]")).mapInArrow(judge, schema)

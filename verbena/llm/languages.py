@@ -207,6 +207,8 @@ LANGS = pa.list_(pa.struct([("lang", pa.string()), ("sentences", pa.int32()), ("
 def judge(models: PieceModels, text: str, min_words: int, margin: float) -> tuple[list[tuple], np.ndarray | None, dict[int, list[float]]]:
     """Segments (begin, end, sentence, language, confidence), the sum over sentences, confidences by language."""
     rows, total, by = [], None, defaultdict(list)
+    if not models.languages:
+        return [(a, b, False, None, 0.0) for a, b in segments(text)], None, by
     for begin, end in segments(text):
         segment = text[begin:end]
         words = words_of(segment)
