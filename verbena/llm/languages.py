@@ -150,6 +150,8 @@ def fit(counts: dict[str, Counter], languages: list[str], pieces: list[str], rou
             for word, n in counts.get(language, {}).items():
                 for part in parts_of(word):
                     _expect(models, column, part, n, expected)
+        if not expected.size:
+            break
         p = expected / expected.sum(axis=0)
         models = PieceModels(languages, index, (1 - background) * p + background * p.mean(axis=1, keepdims=True))
     return models
