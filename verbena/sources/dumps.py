@@ -103,7 +103,7 @@ def text_tables(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     item = lambda kind, value: F.collect_list(F.when((F.col("_section") == kind) & F.col(value).isNotNull(), F.struct("line_no", F.col(value).alias("v"))))
     ordered = lambda c: F.transform(F.array_sort(c), lambda x: x["v"])
     heads = tagged.filter("field_id = 0").groupBy("file").agg(ordered(item("language_keys", "_text")).alias("k"), ordered(item("language_values", "_int")).alias("v"))
-    pairs = F.explode(F.arrays_zip(F.slice("k", 1, F.greatest(F.least(F.size("k"), F.size("v")), F.lit(0))), "v"))
+    pairs = F.explode(F.arrays_zip("k", "v"))
     languages = heads.select("file", pairs.alias("p")).filter("p.k is not null and p.v is not null").select("file", F.col("p.k").alias("language"), F.col("p.v").alias("id"))
     fields = tagged.filter("field_id > 0").groupBy("file", "field_id").agg(F.max("_name").alias("field_name"), ordered(item("keys", "_int")).alias("keys"), ordered(item("values", "_text")).alias("values"))
     return languages, fields
