@@ -1,0 +1,7 @@
+import importlib.util
+from pathlib import Path
+
+_spec = importlib.util.spec_from_file_location("core_queries_test", Path(__file__).resolve().parent.parent / "test_queries.py")
+_module = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_module)
+compare, DATA = _module.compare, _module.DATA
