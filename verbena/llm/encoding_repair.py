@@ -13,7 +13,9 @@ characters' contexts, both bounded by the alphabets in use, reach the driver.
 Applying. Accepted mappings are applied to every record, with or without a twin. For multi-byte
 writings a run must decode to characters that are common in the data; for single bytes the
 restored character must be far more common between its neighbours than the one that stands
-there. Replacement characters and C1 controls are garbled in any case, restorable or not.
+there. So must the character that a lone lead begins whose follower was lost, being a space or
+a sign that shows nothing. Replacement characters and C1 controls are garbled in any case,
+restorable or not.
 
 Null and empty texts and pure ASCII are never garbled. Repeated rows are judged alike, each
 for itself. Texts are processed whole. Extra columns play no part.
@@ -22,6 +24,7 @@ for itself. Texts are processed whole. Extra columns play no part.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -158,6 +161,8 @@ class Repair:
                 back = {c: b for b, c in enumerate(byte_table(t.read)) if b >= 128}
                 if t.written == "utf-8":
                     multi.append((t, back, re.compile("[" + re.escape("".join(back)) + "]+")))
+                    for lead, d in self._leads(t) if t.times == 1 else ():
+                        single.setdefault(lead, []).append(d)
                 else:
                     shown = byte_table(t.written)
                     for c, b in back.items():
@@ -166,6 +171,14 @@ class Repair:
             self._ready = {"multi": sorted(multi, key=lambda m: -m[0].times), "single": single}
         return self._ready["multi"], self._ready["single"]
 
+    def _leads(self, t: Transformation) -> Iterator[tuple[str, str]]:
+        """Leads whose follower shows as a space or as nothing, so that it was likely lost, with the common character they begin."""
+        shown = byte_table(t.read)
+        for d in sorted(self.common):
+            data = d.encode("utf-8")
+            if len(data) == 2 and (shown[data[1]].isspace() or unicodedata.category(shown[data[1]]) in ("Cf", "Cc")):
+                yield shown[data[0]], d
+
     def _decode(self, run: str, back: dict[str, int], times: int) -> str | None:
         """The run with every sequence that decodes to common characters put right; None if there is none."""
         data = bytes(back[c] for c in run)
