@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from .functions import lexicon
 from .functions import text as T
 from .functions import tokens as K
-from .operators import audits, coverage, guards, lookup, maintenance, parse_failures, placeholders, rules
+from .operators import audits, coverage, guards, lookup, maintenance, parse_failures, placeholders, rules, summaries
 from .queries_sql import SQL as _SQL
 from .session import table
 from .sources import dumps, memories, sinks
+from .streaming import enrichment
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +365,7 @@ def repaired_texts(spark, sf_dir):
 def protected_texts(spark, sf_dir):
     f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
     p, t = K.protect(F.col("field_value"), K.MARKUP), K.tokens_of(F.col("field_value"), K.MARKUP)
-    return f.select("field_id", p.alias("protected"), F.size(t).alias("tokens"), K.restore(p, t, K.MARKUP).alias("restored"))
+    return f.select("field_id", F.size(t).alias("tokens"), K.restore(p, t, K.MARKUP).alias("restored"), F.size(K.lost(p, t, K.MARKUP)).alias("lost"))
 
 
 def text_sentences(spark, sf_dir):
@@ -409,6 +410,69 @@ def event_properties(spark, sf_dir):
     return e.select("event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("total"))
 
 
+def keys_by_source(spark, sf_dir):
+    e = table(spark, sf_dir, "missing_text").filter("flow = 'chef' and source_text is not null")
+    return summaries.keys_by_source(e.select(F.col("source_text").alias("source"), F.col("entry_key").alias("key")))
+
+
+def blank_memory(spark, sf_dir):
+    return summaries.blank_memory(coverage.missing_texts(_entries(spark, sf_dir), _memory(spark, sf_dir)))
+
+
+def unfaulted_targets(spark, sf_dir):
+    m = _memory(spark, sf_dir).withColumn("reason", T.replacement_fault(F.col("source"), F.col("target")))
+    return summaries.without(m, ["null", "blank", "placeholder", "cjk", "equal_to_source"])[0].select("source", "target")
+
+
+def faulted_targets(spark, sf_dir):
+    m = _memory(spark, sf_dir).withColumn("reason", T.replacement_fault(F.col("source"), F.col("target")))
+    return summaries.without(m, ["null", "blank", "placeholder", "cjk", "equal_to_source"])[1]
+
+
+def file_pairs(spark, sf_dir):
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_value is not null")
+    side = lambda title: f.filter(F.col("field_title") == title).select(F.col("conversation_id").alias("file"), F.col("actor_id").cast("string").alias("id"), F.col("field_id").alias("line_no"), F.col("field_value").alias("text")).filter("id is not null")
+    one = lambda df: df.groupBy("file", "id").agg(F.max_by("text", "line_no").alias("text"), F.max("line_no").alias("line_no"))
+    return summaries.file_pairs(one(side("en")), one(side("pt-BR")))[0]
+
+
+def relocation_counts(spark, sf_dir):
+    return summaries.relocation_counts(relocated_names(spark, sf_dir))
+
+
+def flow_memories(spark, sf_dir):
+    e = _entries(spark, sf_dir)
+    memory = summaries.memory_of_flow(F.col("flow"), {"dialogos": "memoria_dialogos", "missoes": "memoria_missoes", "missoes_resources": "memoria_missoes"}, "memoria_geral")
+    return e.groupBy(memory.alias("memory")).agg(F.count("*").alias("entries"))
+
+
+def change_log(spark, sf_dir):
+    return summaries.change_log(_changes(spark, sf_dir))
+
+
+def filled_missing(spark, sf_dir):
+    return enrichment.fill_missing(_memory(spark, sf_dir), _entries(spark, sf_dir), enrichment.identity)
+
+
+def _graph_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'en' and field_value is not null")
+    file = F.concat(F.lit("conversation-"), F.col("conversation_id").cast("string")).alias("file")
+    pair = lambda title, value: [F.lit(f'1 string title = "{title}"'), F.concat(F.lit('1 string value = "'), value, F.lit('"'))]
+    number = lambda c: F.concat(F.lit("0 int id = "), F.col(c).cast("string"))
+    cast = f.select(file, "actor_id").distinct().join(F.broadcast(table(spark, sf_dir, "actors").select("actor_id", "actor_name")), "actor_id")
+    parts = (
+        (cast, F.col("actor_id").cast("long") * 10, [F.lit("0 Actor data"), number("actor_id"), *pair("Name en", F.col("actor_name"))]),
+        (f.select(file, "conversation_id").distinct(), F.lit(10_000).cast("long"), [F.lit("0 Conversation conversations"), F.lit("0 Conversation data"), number("conversation_id")]),
+        (f.select(file, "field_id", "entry_id", "actor_id", "field_value"), F.col("field_id") * 10 + 100_000, [F.lit("0 DialogueEntry data"), number("entry_id"), *pair("en", T.escape_dump(F.col("field_value"))), *pair("Actor", F.coalesce(F.col("actor_id").cast("string"), F.lit("")))]),
+    )
+    out = [df.select("file", base.alias("_b"), F.posexplode(F.array(*lines)).alias("i", "line")).select("file", (F.col("_b") + F.col("i")).alias("line_no"), "line") for df, base, lines in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def dialogue_contexts(spark, sf_dir):
+    return dumps.dialogue_contexts(dumps.dialogue_graph(_graph_dump(spark, sf_dir))).select("file", "source", "conversation_id", "entry_id", "actor_id", "actor_name")
+
+
 _NAMED = (
     p3_found, p3_loaded, coverage_by_flow, missing_texts_by_asset, missing_by_source, memory_states, memory_fallback, memory_layers, targets_known, table_coverage,
     memory_diff, memory_review_status, merge_outcomes, patch_outcomes, patched_memory, reverted_memory, pending_texts, first_wins_entries, upserted_memory,
@@ -417,6 +481,7 @@ _NAMED = (
     punctuation_warnings, values_clean, untranslated_buckets, name_findings, relocated_names, guard_outcomes, decisions, decision_counts, corrected_texts,
     placeholder_reasons, placeholder_names, technical_tokens, stripped_texts, word_counts, lexicon_hits, text_predicates, escaped_texts, cleaned_texts, repaired_texts,
     protected_texts, text_sentences, table_lines, report_lines, memory_json_lines, artifact_state, stale_outputs, status_rollup, event_properties,
+    keys_by_source, blank_memory, unfaulted_targets, faulted_targets, file_pairs, relocation_counts, flow_memories, change_log, filled_missing, dialogue_contexts,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _NAMED}
 

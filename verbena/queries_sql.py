@@ -212,4 +212,15 @@ SQL: dict[str, str] = {
     "stale_outputs": "select distinct 'translated-' || asset as name, 'stale' as reason from missing_text where asset not in (select asset_file from localized_entries where asset_file is not null)",
     "status_rollup": f"{COVER}, t as (select count(*) filter (not coalesce(m_localized in (select {unescape('target')} from mem where target is not null), false)) as k from localized_entries), m as (select unnest([(select sum(missing) from c), (select sum(empty) from c), (select k from t)]) as v) select bool_and(v = 0) as ready, count(*) filter (v <> 0) as failed, case when bool_and(v = 0) then 'pronto' else 'revisao_necessaria' end as status from m",
     "event_properties": "select event_type, count(k) as n, cast(sum(k) as bigint) as total from (select event_type, try_cast(json_extract_string(props, '$.k') as bigint) as k from events) group by event_type",
+    "keys_by_source": "select source_text as source, count(*) as entries, string_agg(distinct entry_key, ',' order by entry_key) as keys, bool_and(coalesce(starts_with(entry_key, 'character_name_'), false)) as only_prefixed from missing_text where flow = 'chef' and source_text is not null group by source_text",
+    "blank_memory": f"{MISSED} select distinct source, '' as target from x",
+    "unfaulted_targets": f"{MEM} select source, target from mem where {fault('source', 'target')} is null",
+    "faulted_targets": f"{MEM} select {fault('source', 'target')} as reason, count(*) as n from mem where {fault('source', 'target')} is not null group by 1",
+    "file_pairs": "with f as (select conversation_id as file, actor_id as id, field_title as t, arg_max(field_value, field_id) as x, max(field_id) as n from dialogue_fields where field_value is not null and actor_id is not null and field_title in ('en', 'pt-BR') group by 1, 2, 3) select a.x as source, arg_max(b.x, (a.file, a.n)) as target from f a join f b on a.file = b.file and a.id = b.id and b.t = 'pt-BR' where a.t = 'en' group by a.x",
+    "flow_memories": "select case when flow = 'dialogos' then 'memoria_dialogos' when flow in ('missoes', 'missoes_resources') then 'memoria_missoes' else 'memoria_geral' end as memory, count(*) as entries from missing_text group by 1",
+    "change_log": f"select coalesce({controls('source_text')}, '') || ': ' || coalesce({controls('antes')}, '') || ' -> ' || coalesce({controls('depois')}, '') as line from change_records where antes is distinct from depois",
+    "filled_missing": f"{MEM} select distinct source_text as source, source_text as target, 'ok' as status from missing_text where not {blank('source_text')} and source_text not in (select source from u)",
+    "protected_texts": rf"""select field_id, cast(len(regexp_extract_all(field_value, '\[lua\((?:[^()]|\([^()]*\))*\)\]|\[/?em\d*\]|<[^<>]+>|\{{[^{{}}]+\}}|\\[nr]')) as integer) as tokens, field_value as restored, 0 as lost {_DF}""",
+    "dialogue_contexts": f"select 'conversation-' || conversation_id as file, {dump('field_value')} as source, cast(conversation_id as varchar) as conversation_id, cast(entry_id as varchar) as entry_id, coalesce(cast(actor_id as varchar), '') as actor_id, actor_name from dialogue_fields left join actors using (actor_id) where field_title = 'en' and field_value is not null",
 }
+SQL["relocation_counts"] = "with z as (" + SQL["relocated_names"] + ") select case when exact_in is not null then 'exact' when mentioned_in is not null then 'mentioned' else 'nowhere' end as place, count(*) as strings from z group by 1"
