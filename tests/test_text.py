@@ -69,8 +69,8 @@ def test_tokens(values):
     for style in (K.BRACKETS, K.MARKUP, K.LAUNCHER):
         many = " ".join(f"{{{i}}}" for i in range(12))
         assert values(lambda t, s=None: K.restore(K.protect(t, style), K.tokens_of(t, style), style), [many]) == [many]
-    assert values(lambda t: K.protect(t, K.SNAKE), ["(snake_case) a_b"]) == ["CHEFTOKEN0END aCHEFTOKEN1ENDb"]
-    assert values(lambda a, b: K.lost(b, K.tokens_of(a, K.MARKUP), K.MARKUP), ["{0} {1}"], ["__LW_TOKEN_1__"]) == [["{0}"]]
+    assert values(lambda t: K.protect(t, K.SNAKE), ["(snake_case) a_b"]) == ["SNAKETOKEN0END aSNAKETOKEN1ENDb"]
+    assert values(lambda a, b: K.lost(b, K.tokens_of(a, K.MARKUP), K.MARKUP), ["{0} {1}"], ["__MARK_1__"]) == [["{0}"]]
 
 
 def test_words_and_names(values):

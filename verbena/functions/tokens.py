@@ -22,9 +22,9 @@ class Style:
 
 
 BRACKETS = Style(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>", "__TOKEN_", "__")
-MARKUP = Style(r"\[lua\((?:[^()]|\([^()]*\))*\)\]|\[/?em\d*\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "__LW_TOKEN_", "__")
-SNAKE = Style(r"\{[^{}]+\}|<[^<>]+>|\([a-z0-9]+(?:_[a-z0-9]+)+\)|_", "CHEFTOKEN", "END")
-LAUNCHER = Style(r"\[[^\]]+\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "LW_TOKEN_", "_END")
+MARKUP = Style(r"\[lua\((?:[^()]|\([^()]*\))*\)\]|\[/?em\d*\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "__MARK_", "__")
+SNAKE = Style(r"\{[^{}]+\}|<[^<>]+>|\([a-z0-9]+(?:_[a-z0-9]+)+\)|_", "SNAKETOKEN", "END")
+LAUNCHER = Style(r"\[[^\]]+\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "MARK_", "_END")
 
 
 def tokens_of(text: Column, style: Style) -> Column:

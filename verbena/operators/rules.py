@@ -75,6 +75,10 @@ def _reason(rule: Rule) -> Column:
     return F.struct(F.lit(rule.id).alias("id"), F.lit(rule.category).alias("category"), F.lit(rule.severity).alias("severity"))
 
 
+def no_reasons() -> Column:
+    return F.filter(F.array(_reason(RULES[0])), lambda _: F.lit(False))
+
+
 def reasons(source: Column, target: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """The rules that hold for a pair, in their order. Technical parts are put aside first."""
     held = []
@@ -105,7 +109,7 @@ def with_gender_reasons(audit: DataFrame, contexts: DataFrame, genders: DataFram
         known = alone.join(genders.select(F.col("name").alias("_name"), F.col("gender").alias("_gender")), "_name").select("source", "_gender")
         stripped = T.strip_technical(F.coalesce("target", F.lit("")))
         wrong = F.when(F.col("_gender") == "feminino", marks(stripped, "masculino")).when(F.col("_gender") == "masculino", marks(stripped, "feminino"))
-        extra = F.when(F.coalesce(wrong, F.lit(False)), F.array(_reason(rule))).otherwise(F.filter(F.array(_reason(rule)), lambda _: F.lit(False)))
+        extra = F.when(F.coalesce(wrong, F.lit(False)), F.array(_reason(rule))).otherwise(no_reasons())
         out = out.join(known, "source", "left").withColumn("reasons", F.concat("reasons", extra)).drop("_gender")
     return out
 
