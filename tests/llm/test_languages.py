@@ -1,5 +1,4 @@
 import itertools
-import math
 import os
 import random
 
@@ -75,4 +74,5 @@ def test_empty(spark):
         table = spark.createDataFrame(labels, "label string, lang string")
         models = lg.learn(documents, table, PIECES)
         assert lg.label_faults(lg.with_languages(documents, models), table).count() == 0
-    assert math.isclose(lg.posterior(np.array([0.0, 0.0]))[0], 0.5)
+    best, post, lead = lg.posteriors(np.array([[0.0, 0.0], [-1000.0, 0.0]]))
+    assert list(best) == [0, 1] and np.allclose(post, [0.5, 1.0]) and list(lead) == [0.0, 1000.0]

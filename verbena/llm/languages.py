@@ -111,18 +111,13 @@ class PieceModels:
     def word(self, word: str) -> np.ndarray:
         return sum(np.log(self.forward(part)[-1]) for part in parts_of(word))
 
-    def scores(self, words: list[str]) -> np.ndarray:
-        """The log of the sum over all segmentations of some words, for each language."""
-        if not words:
-            return np.zeros(len(self.languages))
-        at = []
+    def places(self, words: list[str]) -> list[int]:
+        """The row of each word's sums in `_rows`; words not met before are summed now."""
+        cache, at = self._cache, []
         for w in words:
-            i = self._cache.get(w)
+            i = cache.get(w)
             if i is None:
-                if len(self._cache) >= KEEP:
-                    self._cache.clear()
-                    return self.scores(words) if len(set(words)) < KEEP else sum(map(self.word, words))
-                i = self._cache[w] = len(self._cache)
+                i = cache[w] = len(cache)
                 if self._rows is None or i >= len(self._rows):
                     grown = np.empty((max(1024, 2 * i), len(self.languages)))
                     if i:
@@ -130,12 +125,21 @@ class PieceModels:
                     self._rows = grown
                 self._rows[i] = self.word(w)
             at.append(i)
-        return self._rows[at].sum(axis=0)
+        return at
+
+    def forget(self) -> None:
+        """Start the cache anew if it has grown large; places given before are void."""
+        if len(self._cache) >= KEEP:
+            self._cache.clear()
 
+    def sums(self, places: list[int], starts: list[int]) -> np.ndarray:
+        """The sums of runs of words that start at these places, a row each."""
+        return np.add.reduceat(self._rows[places], starts, axis=0)
 
-def posterior(scores: np.ndarray) -> np.ndarray:
-    e = np.exp(scores - scores.max())
-    return e / e.sum()
+    def scores(self, words: list[str]) -> np.ndarray:
+        """The log of the sum over all segmentations of some words, for each language."""
+        self.forget()
+        return self.sums(self.places(words), [0])[0] if words else np.zeros(len(self.languages))
 
 
 def fit(counts: dict[str, Counter], languages: list[str], pieces: list[str], rounds: int = 3, background: float = 0.1) -> PieceModels:
@@ -206,28 +210,34 @@ def learn(documents: DataFrame, labels: DataFrame, vocabulary: str, per_language
 LANGS = pa.list_(pa.struct([("lang", pa.string()), ("sentences", pa.int32()), ("confidence", pa.float64())]))
 
 
-def judge(models: PieceModels, text: str, min_words: int, margin: float) -> tuple[list[tuple], np.ndarray | None, dict[int, list[float]]]:
-    """Segments (begin, end, sentence, language, confidence), the sum over sentences, confidences by language."""
-    rows, total, by = [], None, defaultdict(list)
-    if not models.languages:
-        return [(a, b, False, None, 0.0) for a, b in segments(text)], None, by
-    for begin, end in segments(text):
-        segment = text[begin:end]
-        words = words_of(segment)
-        sentence = is_sentence(segment, len(words), min_words)
-        if not words:
-            rows.append((begin, end, False, None, 0.0))
-            continue
-        scores = models.scores(words)
-        post = posterior(scores)
-        best = int(post.argmax())
-        rows.append((begin, end, sentence, models.languages[best], float(post[best])))
-        if sentence:
-            total = scores if total is None else total + scores
-            second = np.partition(scores, -2)[-2] if len(scores) > 1 else -np.inf
-            if scores[best] - second >= margin:
-                by[best].append(float(post[best]))
-    return rows, total, by
+def judge(models: PieceModels, texts: list[str | None], min_words: int) -> tuple[list[tuple[int, int, int, bool]], np.ndarray]:
+    """All segments of some texts (text, begin, end, sentence) and their scores; segments without a word score 0."""
+    found: list[tuple[int, int, int, bool]] = []
+    rows, starts, places = [], [], []
+    models.forget()
+    for n, text in enumerate(texts):
+        for begin, end in segments(text or ""):
+            segment = text[begin:end]
+            words = words_of(segment)
+            if words and models.languages:
+                rows.append(len(found))
+                starts.append(len(places))
+                places += models.places(words)
+            found.append((n, begin, end, is_sentence(segment, len(words), min_words)))
+    scores = np.zeros((len(found), len(models.languages)))
+    if rows:
+        scores[rows] = models.sums(places, starts)
+    return found, scores
+
+
+def posteriors(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language, its posterior and its lead over the next, for each row of scores."""
+    if not scores.size:
+        none = np.zeros(len(scores))
+        return none.astype(int), none, none
+    top = scores.max(axis=1)
+    second = np.partition(scores, -2, axis=1)[:, -2] if scores.shape[1] > 1 else np.full(len(scores), -np.inf)
+    return scores.argmax(axis=1), 1 / np.exp(scores - top[:, None]).sum(axis=1), top - second
 
 
 def with_languages(documents: DataFrame, models: PieceModels, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", min_words: int = 4, margin: float = 5.0) -> DataFrame:
@@ -242,13 +252,21 @@ def with_languages(documents: DataFrame, models: PieceModels, id_col: str = "doc
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            lang, confidence, langs = [], [], []
-            for text in batch.column(2).to_pylist():
-                _, total, by = judge(m, text or "", min_words, margin)
-                post = None if total is None else posterior(total)
-                lang.append(None if post is None else m.languages[int(post.argmax())])
-                confidence.append(0.0 if post is None else float(post.max()))
-                langs.append([(m.languages[k], len(v), float(np.mean(v))) for k, v in sorted(by.items())])
+            texts = batch.column(2).to_pylist()
+            found, scores = judge(m, texts, min_words)
+            best, post, lead = posteriors(scores)
+            total, judged = np.zeros((len(texts), len(m.languages))), np.zeros(len(texts), dtype=bool)
+            by: list[dict[int, list[float]]] = [defaultdict(list) for _ in texts]
+            for k, (n, _, _, sentence) in enumerate(found):
+                if sentence and m.languages:
+                    total[n] += scores[k]
+                    judged[n] = True
+                    if lead[k] >= margin:
+                        by[n][int(best[k])].append(float(post[k]))
+            whole, sure, _ = posteriors(total)
+            lang = [m.languages[whole[n]] if judged[n] else None for n in range(len(texts))]
+            confidence = [float(sure[n]) if judged[n] else 0.0 for n in range(len(texts))]
+            langs = [[(m.languages[k], len(v), sum(v) / len(v)) for k, v in sorted(x.items())] for x in by]
             columns = [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(confidence, pa.float64()), pa.array([[dict(zip(("lang", "sentences", "confidence"), x, strict=True)) for x in y] for y in langs], LANGS)]
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "label", "detected", "confidence", "langs"])
 
@@ -264,7 +282,14 @@ def with_segments(documents: DataFrame, models: PieceModels, id_col: str = "doc_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            rows = [(i, n, *r) for i, text in enumerate(batch.column(1).to_pylist()) for n, r in enumerate(judge(m, text or "", min_words, 0)[0])]
+            found, scores = judge(m, batch.column(1).to_pylist(), min_words)
+            best, post, _ = posteriors(scores)
+            rows, before, n = [], -1, 0
+            for k, (text, begin, end, sentence) in enumerate(found):
+                n = n + 1 if text == before else 0
+                before = text
+                told = scores.shape[1] > 0 and scores[k].any()
+                rows.append((text, n, begin, end, sentence, m.languages[best[k]] if told else None, float(post[k]) if told else 0.0))
             ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int32()))
             rest = [[r[1] for r in rows], [r[2] for r in rows], [r[3] - r[2] for r in rows], [r[4] for r in rows], [r[5] for r in rows], [r[6] for r in rows]]
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.float64())
