@@ -28,6 +28,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pandas as pd
 import pyarrow as pa
@@ -46,6 +47,7 @@ LOST = re.compile("[�\x80-\x9f]")
 FLUSH = 200_000
 
 
+@cache
 def byte_table(name: str) -> list[str]:
     """The character that an encoding shows for each byte; undefined bytes show as themselves."""
     return [bytes([b]).decode(name, "ignore") or chr(b) for b in range(256)]
@@ -155,7 +157,7 @@ class Repair:
         return {k: v for k, v in self.__dict__.items() if k != "_ready"} | {"_ready": {}}
 
     def _tables(self):
-        if not self._ready:
+        if "multi" not in self._ready:
             multi, single = [], {}
             for t in self.transformations:
                 back = {c: b for b, c in enumerate(byte_table(t.read)) if b >= 128}
@@ -168,7 +170,7 @@ class Repair:
                     for c, b in back.items():
                         if shown[b] != c and shown[b] in self.common:
                             single.setdefault(c, []).append(shown[b])
-            self._ready = {"multi": sorted(multi, key=lambda m: -m[0].times), "single": single}
+            self._ready |= {"multi": sorted(multi, key=lambda m: -m[0].times), "single": single}
         return self._ready["multi"], self._ready["single"]
 
     def _leads(self, t: Transformation) -> Iterator[tuple[str, str]]:
@@ -200,21 +202,30 @@ class Repair:
                 i += 1
         return "".join(out) if hit else None
 
-    def restore(self, text: str) -> tuple[str, bool]:
-        """The text restored as far as possible, and whether it was garbled."""
-        multi, single = self._tables()
-        garbled = False
-        for t, back, runs in multi:
-            restored = text
+    def _fix(self, run: str) -> str:
+        """A run of non-ASCII characters with each multi-byte mapping taken back in turn; kept for the next time."""
+        new = run
+        for t, back, runs in self._tables()[0]:
+            restored = new
             for step in range(t.times):
                 rest = t.times - step
                 changed = runs.sub(lambda m: self._decode(m.group(), back, rest) or m.group(), restored)  # noqa: B023
                 if changed == restored:
-                    restored = text
+                    restored = new
                     break
                 restored = changed
-            if restored != text:
-                text, garbled = restored, True
+            new = restored
+        self._ready["runs"][run] = new
+        return new
+
+    def restore(self, text: str) -> tuple[str, bool]:
+        """The text restored as far as possible, and whether it was garbled."""
+        _, single = self._tables()
+        runs = self._ready.setdefault("runs", {})
+        if len(runs) > FLUSH:
+            runs.clear()
+        fixed = RUN.sub(lambda m: runs.get(m.group()) or self._fix(m.group()), text)
+        garbled, text = fixed != text, fixed
         if single and not text.isascii():
             out, last = list(text), len(text) - 1
             for m in RUN.finditer(text):
