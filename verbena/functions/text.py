@@ -7,14 +7,17 @@ the predicates, which give false.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicon
 
 WS = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
-#: A word's border that knows ASCII letters only.
-ASCII_BORDER = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+#: A word's border that knows ASCII letters only, in small letters.
+ASCII_BORDER = r"(?:(?<![a-z0-9_])(?=[a-z0-9_])|(?<=[a-z0-9_])(?![a-z0-9_]))"
 LUA = r"\[lua\((?:[^()]|\([^()]*\))*\)\]"
 EM = r"\[/?em\d+\]"
 TAG = r"</?[^>]+>"
@@ -25,8 +28,21 @@ CJK = r"[\u3400-\u4DBF\u4E00-\u9FFF\u3040-\u30FF\uAC00-\uD7AF]"
 
 
 def regex(pattern: str) -> str:
-    """A pattern whose \\b and case folding are those of the rule tables: ASCII borders, Unicode case."""
-    return "(?iu)" + pattern.replace(r"\b", ASCII_BORDER)
+    """A rule's pattern for text in small letters, which is much faster than folding case at each place.
+
+    \\b is a border that knows ASCII letters only. Letters of the pattern become small, but for
+    those of a character class by property.
+    """
+    small = re.sub(r"\\p\{\w+\}|.", lambda m: m.group() if len(m.group()) > 1 else m.group().lower(), pattern)
+    return small.replace(r"\b", ASCII_BORDER)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often the body uses it.
+
+    Catalyst puts an aliased expression into each of its uses; a lambda's variable it leaves alone.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def quote(literal: str) -> str:

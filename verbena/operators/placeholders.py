@@ -61,7 +61,10 @@ CASES = (
 
 def reordered(value: Column) -> Column:
     """A struct of new value, changed and reason."""
-    core = T.ws_trim(value)
+    return T.let(F.struct(value.alias("v"), T.ws_trim(value).alias("c")), lambda x: _decided(x["v"], x["c"]))
+
+
+def _decided(value: Column, core: Column) -> Column:
     case = F.when(value.isNull(), _result(value, value, "valor_nao_string", None)).when(core == "", _result(value, value, "valor_vazio", None))
     for c in CASES:
         holds = core.rlike(c.pattern)
@@ -78,4 +81,4 @@ def _result(old: Column, new: Column, unchanged: str, changed: str | None) -> Co
 
 
 def reason_counts(df: DataFrame, value_col: str) -> DataFrame:
-    return df.select(reordered(F.col(value_col)).alias("r")).groupBy("r.reason").agg(F.count("*").alias("n"), F.count_if("r.changed").alias("changed"))
+    return df.select(F.explode(F.array(reordered(F.col(value_col)))).alias("r")).groupBy("r.reason").agg(F.count("*").alias("n"), F.count_if("r.changed").alias("changed"))

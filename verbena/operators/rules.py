@@ -80,7 +80,7 @@ def no_reasons() -> Column:
 
 
 def reasons(source: Column, target: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """The rules that hold for a pair, in their order. Technical parts are put aside first."""
+    """The rules that hold for a pair in small letters without technical parts, in their order."""
     held = []
     for rule in rules:
         test = target.rlike(T.regex(rule.target))
@@ -91,9 +91,11 @@ def reasons(source: Column, target: Column, rules: tuple[Rule, ...] = RULES) ->
 
 
 def audited(memory: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """memory with `reasons`."""
-    stripped = memory.withColumn("_s", T.strip_technical("source")).withColumn("_t", T.strip_technical(F.coalesce("target", F.lit(""))))
-    return stripped.withColumn("reasons", reasons(F.col("_s"), F.col("_t"), rules)).drop("_s", "_t")
+    """memory with `reasons`, evaluated once a row: what follows filters the generated column."""
+    small = lambda c: F.lower(T.strip_technical(c))
+    sides = F.struct(small(F.col("source")).alias("s"), small(F.coalesce("target", F.lit(""))).alias("t"))
+    found = T.let(sides, lambda x: reasons(x["s"], x["t"], rules))
+    return memory.select(*[F.col(f"`{c}`") for c in memory.columns if c != "reasons"], F.explode(F.array(found)).alias("reasons"))
 
 
 def with_gender_reasons(audit: DataFrame, contexts: DataFrame, genders: DataFrame) -> DataFrame:

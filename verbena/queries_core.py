@@ -12,7 +12,7 @@ from .functions import text as T
 from .functions import tokens as K
 from .operators import audits, coverage, guards, lookup, maintenance, parse_failures, placeholders, rules, summaries
 from .queries_sql import SQL as _SQL
-from .session import table
+from .session import spread, table
 from .sources import dumps, memories, sinks
 from .streaming import enrichment
 
@@ -70,7 +70,7 @@ def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _portuguese(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = table(spark, sf_dir, "dialogue_fields").filter("field_title = 'pt-BR' and field_value is not null")
-    return f.select(F.col("field_id").alias("ord"), F.col("field_value").alias("source"), F.col("field_value").alias("target"), "actor_id")
+    return spread(f.select(F.col("field_id").alias("ord"), F.col("field_value").alias("source"), F.col("field_value").alias("target"), "actor_id"))
 
 
 def coverage_by_flow(spark, sf_dir):
