@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: Separator put for a comma outside quotes; MARK in the data is doubled by an escape first.
 MARK = "\u0001"
 FIELDS = ("table_name", "entry_key", "source_text", "row_no", "occ_count")
@@ -36,7 +38,10 @@ def _piece_is_broken(piece: Column, i: Column, last: Column) -> Column:
 
 def quoting_is_broken(line: Column) -> Column:
     """True if a double quote stands anywhere but around a whole field or doubled inside one."""
-    pieces = F.split(line, '"', -1)
+    return let(F.split(line, '"', -1), _quotes_are_broken)
+
+
+def _quotes_are_broken(pieces: Column) -> Column:
     last = F.size(pieces) - 1
     broken = F.transform(pieces, lambda p, i: _piece_is_broken(p, i, last))
     return (last % 2 != 0) | F.exists(broken, lambda b: b)
@@ -44,7 +49,10 @@ def quoting_is_broken(line: Column) -> Column:
 
 def fields_of(line: Column) -> Column:
     """The unquoted fields of a line whose quoting is sound."""
-    pieces = F.split(line, '"', -1)
+    return let(F.split(line, '"', -1), _fields)
+
+
+def _fields(pieces: Column) -> Column:
     last = F.size(pieces) - 1
 
     def piece(p: Column, i: Column) -> Column:
