@@ -44,3 +44,13 @@ def test_records(spark):
     forms = {r.row_id: r.form for r in vf.one_form(df, "text").collect()}
     assert len(forms) == len(texts) and forms[len(texts) - 2] is None and all(forms[i] == t for i, t in enumerate(texts) if i not in found)
     assert vf.changed_records(df.limit(0), "text").count() == 0
+
+
+def test_only_keycaps_make_digits_pictures():
+    run = vf.transducer().run
+    for sign in "19#*":
+        for hidden in "\u200c\u200d\ufe0f":
+            assert run(f"{sign}{hidden} coisas") == (f"{sign} coisas", True)
+        assert run(f"{sign}\u0301 coisas") == (f"{sign}\u0301 coisas", True)
+        for keycap in (f"{sign}\ufe0f\u20e3", f"{sign}\u20e3"):
+            assert run(f"{keycap} coisas") == (f"{keycap} coisas", False)

@@ -143,7 +143,8 @@ class Transducer:
         self.words = regex.compile(r"[\p{L}\p{M}\p{Nd}]+")
         self.latin = regex.compile(r"\p{Latin}")
         self.foreign = regex.compile(r"[\p{Cyrillic}\p{Greek}]")
-        self.pictures = regex.compile(r"[\p{Extended_Pictographic}\p{Emoji_Modifier}\p{Regional_Indicator}0-9#*]")
+        # a digit, # or * is a picture only as a keycap
+        self.pictures = regex.compile(r"[\p{Extended_Pictographic}\p{Emoji_Modifier}\p{Regional_Indicator}]|[0-9#*].*\u20e3", regex.S)
         self.runs = regex.compile(r"[^\x00-\x7f]+")
         self.bytes = [{(bytes([b]).decode(e, "ignore") or chr(b)): b for b in range(128, 256)} for e in self.ENCODINGS]
         self.marks = regex.compile(f"[{MARKS}]")
