@@ -45,3 +45,18 @@ def test_empty(spark):
     df = spark.createDataFrame([], "row_id long, text string")
     repair = er.learn(df)
     assert repair.transformations == [] and er.garbled_records(df, repair).count() == 0
+
+
+def test_copies_do_not_hide(spark):
+    """A text garbled by single bytes, in copies that hold a third of all rows, is found, and so is another with its contexts."""
+    way = er.Transformation("latin-1", "mac_roman")
+    clean = [f"{word} {i} {text}" for i in range(12) for word in ("Rua", "Vila") for text in CLEAN]
+    garbled = [way.garble(f"Casa {i} {CLEAN[i % 4]}") for i in range(8)]
+    copied = garbled[0]
+    rows = [(i, t) for i, t in enumerate([*clean, *(c.replace("Rua", "Casa") for c in clean if "Rua" in c), *garbled])]
+    first = len(rows) - len(garbled)
+    rows += [(len(rows) + i, copied) for i in range(len(rows) // 2)]
+    df = spark.createDataFrame(rows, "row_id long, text string")
+    found = {r.row_id: r.restored for r in er.garbled_records(df, er.learn(df)).collect()}
+    assert set(found) == set(range(first, len(rows)))
+    assert all(found[i].startswith("Casa 0 Você não está só na") for i, t in rows if t == copied)

@@ -7,13 +7,14 @@ each run of other characters of one twin stands for the run of the other. From t
 runs transformations are inferred: an encoding that was written, one that it was read in, and
 how often that happened in a row. A transformation is accepted if it explains enough different
 runs and enough occurrences, direction being settled by how common the characters are. Counts
-are made over all records, phrases in their partitions first; only pairs of runs and the
-characters' contexts, both bounded by the alphabets in use, reach the driver.
+are made over all records and over distinct texts, phrases in their partitions first; only pairs
+of runs and the characters' contexts, both bounded by the alphabets in use, reach the driver.
 
 Applying. Accepted mappings are applied to every record, with or without a twin. For multi-byte
 writings a run must decode to characters that are common in the data; for single bytes the
 restored character must be far more common between its neighbours than the one that stands
-there. So must the character that a lone lead begins whose follower was lost, being a space or
+there, in all records or in distinct texts: copies of a clean text are evidence, while copies
+of a garbled one can't hide it. So must the character that a lone lead begins whose follower was lost, being a space or
 a sign that shows nothing. Replacement characters and C1 controls are garbled in any case,
 restorable or not.
 
@@ -99,8 +100,8 @@ def phrases(text: str, words: int) -> Iterator[str]:
         yield " ".join(parts[i : i + words])
 
 
-COUNTS = pa.schema([("kind", pa.string()), ("a", pa.string()), ("b", pa.string()), ("c", pa.string()), ("n", pa.int64())])
-COUNTS_DDL = "kind string, a string, b string, c string, n long"
+COUNTS = pa.schema([("kind", pa.string()), ("a", pa.string()), ("b", pa.string()), ("c", pa.string()), ("n", pa.int64()), ("d", pa.int64())])
+COUNTS_DDL = "kind string, a string, b string, c string, n long, d long"
 
 
 def _letter(c: str) -> str:
@@ -117,37 +118,47 @@ def contexts_of(text: str) -> Iterator[tuple[str, str, str]]:
 
 
 def count_texts(words: int, least: int):
-    """Phrases with their skeletons (at least `least` ASCII letters) and contexts, counted per partition."""
+    """Phrases with their skeletons (at least `least` ASCII letters) and contexts, counted per partition.
 
-    def rows(counter: Counter) -> pa.RecordBatch:
-        keys = list(counter)
-        return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(4)), pa.array(list(counter.values()), pa.int64())], schema=COUNTS)
+    The input is distinct texts with their copies; `n` counts each copy, `d` each text once.
+    """
+
+    def rows(copies: Counter, once: Counter) -> pa.RecordBatch:
+        keys = list(once)
+        numbers = (pa.array([counter[k] for k in keys], pa.int64()) for counter in (copies, once))
+        return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(4)), *numbers], schema=COUNTS)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        copies: Counter = Counter()
+        once: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counter.update(("context", *c) for c in contexts_of(text))
+            for text, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys = [("context", *c) for c in contexts_of(text)]
                 for phrase in set(phrases(text, words)):
                     if not phrase.isascii():
                         skeleton = RUN.sub("", phrase)
                         if sum(map(str.isalpha, skeleton)) >= least:
-                            counter["phrase", skeleton, phrase, ""] += 1
-                if len(counter) > FLUSH:
-                    yield rows(counter)
-                    counter.clear()
-        if counter:
-            yield rows(counter)
+                            keys.append(("phrase", skeleton, phrase, ""))
+                for key in keys:
+                    copies[key] += n
+                    once[key] += 1
+                if len(once) > FLUSH:
+                    yield rows(copies, once)
+                    copies.clear()
+                    once.clear()
+        if once:
+            yield rows(copies, once)
 
     return count
 
 
 @dataclass
 class Repair:
-    """What was learned: accepted transformations and how often each character stands where."""
+    """What was learned: accepted transformations and how often each character stands where, in all records and in distinct texts."""
 
     transformations: list[Transformation]
     context: dict[tuple[str, str, str], int]
+    distinct: dict[tuple[str, str, str], int]
     common: set[str]
     support: int = 5
     ratio: float = 8.0
@@ -232,8 +243,7 @@ class Repair:
                 for i in range(m.start(), m.end()):
                     for d in single.get(text[i], ()):
                         before, after = _letter(text[i - 1] if i else ""), _letter(text[i + 1] if i < last else "")
-                        want, have = self.context.get((before, d, after), 0), self.context.get((before, text[i], after), 0)
-                        if want >= self.support and want >= self.ratio * have:
+                        if self._commoner((before, d, after), (before, text[i], after)):
                             out[i], garbled = d, True
                             break
             text = "".join(out)
@@ -242,29 +252,40 @@ class Repair:
             text = LOST.sub(lambda m: self._likely(text, m.start()), text)
         return text, garbled
 
+    def _commoner(self, restored: tuple[str, str, str], there: tuple[str, str, str]) -> bool:
+        """Whether the restored character is far commoner in its context, in all records or in distinct texts."""
+        for counts in (self.context, self.distinct):
+            want = counts.get(restored, 0)
+            if want >= self.support and want >= self.ratio * counts.get(there, 0):
+                return True
+        return False
+
     def _likely(self, text: str, i: int) -> str:
         """The one character that stands nearly always between these neighbours, for a lost one."""
         if "lost" not in self._ready:
-            between = defaultdict(Counter)
-            for (before, c, after), n in self.context.items():
-                if not LOST.match(c):
-                    between[before, after][c] += n
-            self._ready["lost"] = between
-        found = self._ready["lost"].get((_letter(text[i - 1] if i else ""), _letter(text[i + 1] if i + 1 < len(text) else "")))
-        if found:
-            (c, n), total = found.most_common(1)[0], sum(found.values())
-            if n >= self.support and n >= 0.9 * total:
-                return c
+            self._ready["lost"] = []
+            for counts in (self.distinct, self.context):
+                between = defaultdict(Counter)
+                for (before, c, after), n in counts.items():
+                    if not LOST.match(c):
+                        between[before, after][c] += n
+                self._ready["lost"].append(between)
+        for between in self._ready["lost"]:
+            found = between.get((_letter(text[i - 1] if i else ""), _letter(text[i + 1] if i + 1 < len(text) else "")))
+            if found:
+                (c, n), total = found.most_common(1)[0], sum(found.values())
+                if n >= self.support and n >= 0.9 * total:
+                    return c
         return text[i]
 
 
-def infer(pairs: Counter, frequency: Counter, least_runs: int, least_count: int) -> list[Transformation]:
+def infer(pairs: Counter, frequencies: tuple[Counter, ...], least_runs: int, least_count: int) -> list[Transformation]:
     """The transformations that explain enough pairs of runs, among them some that no accepted one explains."""
     left = {}
     for (a, b), n in pairs.items():
         for clean, garbled in ((a, b), (b, a)):
-            # the clean run holds the commoner characters
-            if clean and min(frequency[c] for c in clean) > min((frequency[c] for c in garbled), default=0):
+            # the clean run holds the commoner characters, by one of the counts
+            if clean and any(min(f[c] for c in clean) > min((f[c] for c in garbled), default=0) for f in frequencies):
                 left[clean, garbled] = left.get((clean, garbled), 0) + n
     explains = {t: {p: n for p, n in left.items() if t.garble(p[0]) == p[1]} for t in candidates()}
     enough = {t: h for t, h in explains.items() if len(h) >= least_runs and sum(h.values()) >= least_count}
@@ -284,15 +305,21 @@ def learn(texts: DataFrame, text_col: str = "text", words: int = 2, least: int =
     """Learn from all texts; `texts` may hold clean records that needn't be judged themselves."""
     wanted = texts.select(F.col(text_col).alias("_text")).filter(F.col("_text").rlike(r"[^\x00-\x7F]"))
     counted = stored(
-        wanted.mapInArrow(count_texts(words, least), COUNTS_DDL).groupBy("kind", "a", "b", "c").agg(F.sum("n").alias("n")), "phrases"
+        wanted.groupBy("_text").agg(F.count("*").alias("_n")).mapInArrow(count_texts(words, least), COUNTS_DDL).groupBy("kind", "a", "b", "c").agg(F.sum("n").alias("n"), F.sum("d").alias("d")),
+        "phrases",
     )
-    context = {(r.a, r.b, r.c): r.n for r in counted.filter("kind = 'context' and n > 1").select("a", "b", "c", "n").toLocalIterator()}
+    context, distinct = {}, {}
     frequency: Counter = Counter()
-    for (_, c, _), n in context.items():
-        frequency[c] += n
-
-    found = counted.filter("kind = 'phrase'").select(F.col("a").alias("skeleton"), F.col("b").alias("phrase"), "n")
-    rank = F.struct(F.col("n"), -F.length("phrase"), F.col("phrase"))
+    of_texts: Counter = Counter()
+    for r in counted.filter("kind = 'context' and n > 1").select("a", "b", "c", "n", "d").toLocalIterator():
+        context[r.a, r.b, r.c] = r.n
+        frequency[r.b] += r.n
+        if r.d > 1:  # what stands once is no evidence, in however many copies
+            distinct[r.a, r.b, r.c] = r.d
+            of_texts[r.b] += r.d
+
+    found = counted.filter("kind = 'phrase'").select(F.col("a").alias("skeleton"), F.col("b").alias("phrase"), "n", "d")
+    rank = F.struct(F.col("d"), F.col("n"), -F.length("phrase"), F.col("phrase"))
     anchors = found.groupBy("skeleton").agg(F.max_by("phrase", rank).alias("anchor"), F.count("*").alias("_k")).filter("_k > 1").drop("_k")
     twins = found.join(anchors, "skeleton").filter("phrase <> anchor").select("phrase", "anchor", "n")
 
@@ -307,9 +334,9 @@ def learn(texts: DataFrame, text_col: str = "text", words: int = 2, least: int =
 
     runs = twins.mapInPandas(align, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 1")
     pairs = Counter({(r.a, r.b): r.n for r in runs.toLocalIterator()})
-    transformations = infer(pairs, frequency, least_runs, least_count)
+    transformations = infer(pairs, (frequency, of_texts), least_runs, least_count)
     common = {c for c, n in frequency.items() if n >= 3 and not LOST.match(c)}
-    return Repair(transformations, context, common)
+    return Repair(transformations, context, distinct, common)
 
 
 def garbled_records(records: DataFrame, repair: Repair, text_col: str = "text") -> DataFrame:
