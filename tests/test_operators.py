@@ -114,6 +114,13 @@ def test_artifacts_and_relocation(spark):
     assert {r.source: (r.exact_in, r.mentioned_in) for r in coverage.relocation(s, f).collect()} == {"one two": ("A,B", None), "left out here": (None, "B"), "ana": (None, "C"), "none": (None, None)}
 
 
+def test_relocation_is_file_by_file_and_by_substring(spark):
+    s = spark.createDataFrame([("ana",), ("ta lo",), ("!?",), ("a.b",)], "source string")
+    f = spark.createDataFrame([("A", "ana"), ("A", "ana runs"), ("B", "see ana"), ("C", "banana"), ("C", "porta longa"), ("D", "what!?"), ("E", None), ("E", "acb")], "name string, text string")
+    got = {r.source: (r.exact_in, r.mentioned_in) for r in coverage.relocation(s, f).collect()}
+    assert got == {"ana": ("A", "B,C"), "ta lo": (None, "C"), "!?": (None, "D"), "a.b": (None, None)}
+
+
 #: One text for each rule that it must hold for, and one that it mustn't. Borders know ASCII letters only:
 #: none lies between an accented letter and a space.
 RULE_CASES = {

@@ -78,21 +78,14 @@ def artifact_state(current: DataFrame, previous: DataFrame) -> DataFrame:
 def relocation(strings: DataFrame, files: DataFrame, text_col: str = "source") -> DataFrame:
     """source, exact_in, mentioned_in: names of files that hold a string as an entry, and of others that hold it within one.
 
-    `files` has name and text, a row per entry. Exact places come from an equality join; only
-    strings without one are searched for within texts, by one of their words: a string
-    and the entries that hold this word meet in an equality join, and the containment is
-    tested on these pairs alone. Strings of one or two words are found where their first word
-    stands as a whole word; strings without a word aren't searched for within texts.
+    `files` has name and text, a row per entry. Every string is searched for in every entry, as
+    part of a word too; a file counts as exact or as mentioning, string by string. `strings` is a
+    bounded list: each entry is compared with each of them, and only pairs that hold go on.
     """
     s = strings.select(F.col(text_col).alias("source")).filter("source is not null and source <> ''").distinct()
-    f = files.select("name", F.col("text")).filter("text is not null").distinct()
-    exact = s.join(f, F.col("source") == F.col("text")).groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("exact_in"))
-    rest = s.join(exact, "source", "left_anti")
-    word = lambda c: F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    # of longer strings an inner word, for the outer ones may be parts of longer words
-    inner = F.element_at(F.array_sort(F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(1)))), 1)
-    probe = rest.withColumn("_w", word("source")).select("source", F.when(F.size("_w") > 2, inner).when(F.size("_w") > 0, F.get("_w", F.lit(0))).alias("_key"))
-    entries = f.select("name", "text", F.explode(F.array_distinct(word("text"))).alias("_key"))
-    within = probe.filter("_key is not null").join(entries, "_key").filter(F.contains("text", "source"))
-    mentioned = within.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("mentioned_in"))
-    return s.join(exact, "source", "left").join(mentioned, "source", "left")
+    f = files.select("name", "text").filter("text is not null")
+    held = s.join(f, F.contains("text", "source")).groupBy("source", "name").agg(F.bool_or(F.col("text") == F.col("source")).alias("_exact"))
+    names = lambda hit: F.array_join(F.array_sort(F.collect_set(F.when(hit, F.col("name")))), ",")
+    places = held.groupBy("source").agg(names(F.col("_exact")).alias("exact_in"), names(~F.col("_exact")).alias("mentioned_in"))
+    blank = lambda c: F.when(F.col(c) != "", F.col(c)).alias(c)
+    return s.join(places, "source", "left").select("source", blank("exact_in"), blank("mentioned_in"))
