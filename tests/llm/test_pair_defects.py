@@ -61,3 +61,13 @@ def test_alignment(judged):
     assert judge.stops_early("um dois tres quatro", "um dois")
     assert not judge.stops_early("um dois tres", "um tres dois")
     assert not judge.stops_early("um dois tres", "um doiz tres quatro")
+
+
+def test_copied_prompts_do_not_make_ends(judged):
+    """The last n-gram of a prompt in very many copies is no certain end for a prompt that goes on after it."""
+    judge = pd_.PairJudge(judged[2].model, {}, "pt")
+    gram = pd_.suffixes("Tire o livro da bolsa", judge.n)[-1]
+    judge.ends[gram] = (100_000, 100_000)
+    assert judge.may_end("Tire o livro da bolsa e coloque na mesa.", "Tire o livro da bolsa") < judge.certain
+    assert judge.stops_early("Tire o livro da bolsa e coloque na mesa.", "Tire o livro da bolsa")
+    assert judge.may_end("Tire o livro da bolsa", "Tire o livro da bolsa") >= judge.certain

@@ -206,7 +206,7 @@ class PairJudge:
         return all(share_in(words, {fold(w) for w in TOKEN.findall(t)}) < 0.5 for t in (prompt, source) if t)
 
     def may_end(self, prompt: str, body: str) -> float:
-        """The likelihood that a text ends with the body's last n-gram."""
+        """The likelihood that a text ends with the body's last n-gram; none where the own prompt goes on after it, for copies of a prompt can't make that an end."""
         tokens, own = suffixes(body, self.n), suffixes(prompt, self.n)
         if not tokens:
             return 0.0
@@ -214,6 +214,8 @@ class PairJudge:
         ends, seen = self.ends.get(gram, (0, 0))
         own_seen = own.count(gram)
         own_ends = int(bool(own) and own[-1] == gram)
+        if own_seen > own_ends:
+            return 0.0
         return (ends + self.own_weight * own_ends) / (1 + seen + self.own_weight * own_seen)
 
     def stops_early(self, prompt: str, body: str) -> bool:
