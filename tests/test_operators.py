@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -224,6 +226,62 @@ def test_enrichment(spark, memory, rows, tmp_path):
     assert spark.read.parquet(state).count() == 6
 
 
+def test_variants_translators_and_sentences(spark, rows):
+    asked = []
+
+    def first(texts):
+        raise OSError("no service")
+
+    def second(texts: pd.Series) -> pd.Series:
+        known = {"it's a map": "é um mapa", "One.": "Um.", "Two __MARK_0__!": "Dois __MARK_0__!", "[a] b": "no mark"}
+        return texts.map(known.get)
+
+    options = {"attempts": 2, "with_variants": True, "by_sentence": True}
+    got = {r.source: (r.target, r.status) for r in enrichment.translated(rows("it\u2019s a map", " One. Two {0}! ", "One. Three.", "[a] b"), [first, second], **options).collect()}
+    assert got["it\u2019s a map"] == ("é um mapa", "ok") and got[" One. Two {0}! "] == (" Um. Dois {0}! ", "ok")
+    assert got["One. Three."] == (None, "failed") and asked == []
+
+
+def test_review_repairs_keys_guards_and_resumes(spark, memory, tmp_path):
+    state = str(tmp_path / "reviewed")
+    old = memory(("a {0}", "um {0}"), ("b\\nc", "dois"), ("d", "ele está cansado"), ("e", "cinco"), (None, "x"))
+    down = {"e"}
+
+    def reviewer(batch: pd.DataFrame) -> pd.DataFrame:
+        if down & set(batch["source"]):
+            raise OSError("no service")
+        said = {"a {0}": "um", "b\\nc": "dois\\n!", "d": "ela está cansada", "e": "cinco!"}
+        return pd.DataFrame([(s.replace("\\n", "\n"), said[s]) for s in batch["source"]], columns=["source", "after"])
+
+    got = {r.source: (r.guard, r.result) for r in enrichment.reviewed(old, state, reviewer, batch_size=1, per_write=2).collect()}
+    assert got == {"a {0}": ("tokens", "um {0}"), "b\\nc": (None, "dois\\n!"), "d": ("gender", "ele está cansado")}
+    down.clear()
+    again = enrichment.reviewed(old, state, reviewer, batch_size=1).collect()
+    assert sorted(r.source for r in again) == ["a {0}", "b\\nc", "d", "e"]
+
+
+def test_audit_by_ids(spark, tmp_path):
+    state = str(tmp_path / "audited")
+    rows = [(f"s{i}", "antes", f"depois {i}") for i in range(4)]
+    changes = spark.createDataFrame(rows, "source string, before string, after string")
+
+    def auditor(batch: pd.DataFrame) -> pd.DataFrame:
+        if "s3" in set(batch["source"]):
+            return batch.iloc[:0].assign(decision="", suggestion="", reason="")
+        kinds = [("APROVAR", "x") if s == "s0" else ("REPROVAR", " ") if s == "s1" else ("REPROVAR", "melhor") for s in batch["source"]]
+        return pd.DataFrame({"id": batch["id"].to_numpy()[::-1], "decision": [k for k, _ in kinds][::-1], "suggestion": [s for _, s in kinds][::-1], "reason": "r"})
+
+    got = {r.source: (r.decision, r.suggestion) for r in enrichment.audited(changes, state, auditor, batch_size=3).collect()}
+    assert got == {"s0": ("APROVAR", "depois 0"), "s1": ("REPROVAR", "antes"), "s2": ("REPROVAR", "melhor")}
+
+
+def test_comparable_keys_agree(values):
+    from verbena.functions import text as T
+
+    keys = ["a\\nb", "a\\\\nb", "x\\u00a0y", "x\u00a0y", "\\r\\n", "plain", ""]
+    assert values(lambda t: T.comparable_key(t), keys) == list(map(enrichment.comparable, keys))
+
+
 def test_stream_is_exactly_once(spark, tmp_path):
     folder, state, check = (str(tmp_path / x) for x in ("in", "state", "check"))
     spark.createDataFrame([("a",), ("b",)], "source string").write.json(folder)
@@ -232,3 +290,26 @@ def test_stream_is_exactly_once(spark, tmp_path):
     for _ in range(2):
         enrichment.stream(spark, folder, state, check, enrichment.identity).start().awaitTermination()
     assert sorted(r.source for r in spark.read.parquet(state).collect()) == ["a", "b", "c"]
+
+
+def _batches(state):
+    return {int(p.name.split("=")[1]): p for p in Path(state).iterdir() if p.name.startswith("batch=")}
+
+
+def test_stream_replays_a_batch_and_tries_again(spark, tmp_path):
+    """A batch whose commit was lost is done again and loses nothing; a failed text is tried by the next batch."""
+    folder, state, check = (str(tmp_path / x) for x in ("in", "state", "check"))
+    down = {"b"}
+    translator = lambda texts: texts.map(lambda t: None if t in down else t)
+    spark.createDataFrame([("a",), ("b",)], "source string").write.json(folder)
+    start = lambda: enrichment.stream(spark, folder, state, check, translator).start().awaitTermination()
+    start()
+    for name in ("0", ".0.crc"):
+        (Path(check) / "commits" / name).unlink(missing_ok=True)
+    start()
+    ok = lambda: sorted(r.source for r in spark.read.parquet(state).filter("status = 'ok'").collect())
+    assert ok() == ["a"] and set(_batches(state)) == {0}
+    down.clear()
+    spark.createDataFrame([("c",)], "source string").write.mode("append").json(folder)
+    start()
+    assert ok() == ["a", "b", "c"]

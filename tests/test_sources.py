@@ -177,6 +177,13 @@ def test_sinks(spark, tmp_path):
     for n in (3, 5):
         sinks.replace_folder(spark.range(n).toDF("x"), path)
         assert spark.read.parquet(path).count() == n
+    # cut off between the two renames: the old folder stands aside
+    (tmp_path / "out").rename(tmp_path / ("out" + sinks.ASIDE))
+    assert spark.read.parquet(sinks.recovered(spark, path)).count() == 5
+    # cut off before the old folder was deleted
+    spark.range(9).write.parquet(path + sinks.ASIDE)
+    sinks.replace_folder(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4 and not (tmp_path / ("out" + sinks.ASIDE)).exists()
     for _ in range(2):
         sinks.append_trail(spark.range(2).toDF("x"), str(tmp_path / "trail"))
     assert spark.read.parquet(str(tmp_path / "trail")).count() == 4

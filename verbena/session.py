@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _SHIPPED: set[str] = set()
+_HOMES: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -40,19 +42,36 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one is set only where the session names none."""
+    """The folder of spark.checkpoint.dir; a local one is set only where the session names none and runs in one process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="verbena-")
+        if current.isDefined():
+            path = current.get()
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            path = "file://" + tempfile.mkdtemp(prefix="verbena-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; it is deleted with all others when the application's JVM ends."""
+    home = f"{shared_dir(spark)}/verbena-{spark.sparkContext.applicationId}"
+    if home not in _HOMES:
+        fs, p = file_system(spark, home)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _HOMES.add(home)
+    return f"{home}/{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -70,6 +89,7 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -1,7 +1,7 @@
 """Sinks: memories as JSON, tables as CSV, dumps as text, reports as Markdown or text.
 
 Spark's commit protocol makes each write whole or absent; `replace_folder` writes beside the
-target first and puts it in place by a rename. Earlier outputs are never overwritten row by row.
+target first and puts it in place by two renames, the old folder staying until the new one is in place.
 """
 
 from __future__ import annotations
@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import file_system
+
+#: What a folder that is being replaced is called meanwhile.
+ASIDE = "-replaced"
 
 
 def json_lines(memory: DataFrame) -> DataFrame:
@@ -57,22 +61,39 @@ def table_file(table_name: str, path_id: int) -> str:
 
 
 def replace_folder(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Write df in full beside the folder, then put it in the folder's place."""
+    """Write df in full beside the folder, then put it in the folder's place.
+
+    The old folder is moved aside, not deleted, before the new one is moved in, and goes last.
+    A run that was cut off in between is made good by `recovered`, which comes first here too.
+    """
     spark = df.sparkSession
+    recovered(spark, path)
     fresh = f"{path}-{uuid.uuid4().hex}"
     df.write.format(fmt).options(**options).save(fresh)
-    fs, new = _fs(spark, fresh)
-    _, old = _fs(spark, path)
-    fs.delete(old, True)
+    fs, old = file_system(spark, path)
+    new, aside = file_system(spark, fresh)[1], file_system(spark, path + ASIDE)[1]
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"can't rename {path}")
     if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
         raise OSError(f"can't rename {fresh} to {path}")
+    fs.delete(aside, True)
+
+
+def recovered(spark: SparkSession, path: str) -> str:
+    """The folder's path, the folder put back if a replacement was cut off after moving it aside."""
+    fs, here = file_system(spark, path)
+    _, aside = file_system(spark, path + ASIDE)
+    if fs.exists(aside):
+        if fs.exists(here):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, here):
+            raise OSError(f"can't put {path} back")
+    return path
 
 
 def append_trail(df: DataFrame, path: str) -> None:
     """Add rows to an audit trail."""
     df.write.mode("append").parquet(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
