@@ -1,10 +1,11 @@
+import random
 from pathlib import Path
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from verbena.operators import audits, coverage, guards, lookup, maintenance, placeholders, rules
+from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, placeholders, rules
 from verbena.plans import pipelines
 from verbena.streaming import enrichment
 
@@ -61,7 +62,7 @@ def test_difference_and_patch_give_the_new_memory(memory):
 
 def test_merge(memory):
     got = maintenance.merged(memory(("a", "1"), ("b", "2"), ("c", "3"), ("d", "4"), ("e", "5"), ("f", "6")), memory(("a", "x"), ("b", "2"), ("c", "###"), ("d", "漢"), ("e", "e")))
-    assert {r.source: r.outcome for r in got.collect()} == {"a": "replaced", "b": "equal", "c": "ignored_placeholder", "d": "ignored_cjk", "e": "ignored_equal_to_source", "f": "not_found"}
+    assert {r.source: r.outcome for r in got.collect()} == {"a": "replaced", "b": "equal", "c": "replaced", "d": "ignored_cjk", "e": "ignored_equal_to_source", "f": "not_found"}
 
 
 def test_keys_and_gates(spark, memory):
@@ -204,6 +205,9 @@ PLACEHOLDERS = {
     "a {InteriorPropTheme.X} b": (None, "interiorprop_theme_existe_mas_nao_esta_no_inicio"), "{InteriorPropBasicName.B} b": (None, "tem_interiorprop_mas_nao_entrou_nas_regras"),
     "a {BroomstickTheme.X} b": (None, "broomstick_theme_existe_mas_nao_entrou_nas_regras"), "a {BroomstickCommon.X} b": (None, "tem_broomstick_mas_nao_entrou_nas_regras"), "plain": (None, "sem_placeholder_relevante"),
     "{InteriorPropTheme.A}": (None, "interiorprop_theme_existe_mas_nao_esta_no_inicio"),
+    "{InteriorPropTheme.A}{InteriorPropTheme.B} X": ("X {InteriorPropTheme.A} {InteriorPropTheme.B}", "interiorprop_theme_movido_para_o_final"),
+    " {InteriorPropTheme.A}  {InteriorPropTheme.B}Y{InteriorPropTheme.C}": ("Y{InteriorPropTheme.C} {InteriorPropTheme.A} {InteriorPropTheme.B}", "interiorprop_theme_movido_para_o_final"),
+    "{BroomstickTheme.A}{BroomstickTheme.B} Thing": ("Thing {BroomstickTheme.A} {BroomstickTheme.B}", "broomstick_theme_movido_para_o_final_generico"),
 }
 
 
@@ -313,3 +317,65 @@ def test_stream_replays_a_batch_and_tries_again(spark, tmp_path):
     spark.createDataFrame([("c",)], "source string").write.mode("append").json(folder)
     start()
     assert ok() == ["a", "b", "c"]
+
+
+def test_relocation_against_brute_force(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abc é") for _ in range(rng.randint(0, 30))) for _ in range(60)] + [None, "", "x" * 3000 + "needle" + "y" * 3000]
+    files = [(rng.choice(["f1", "f2", "f3", None]), t) for t in texts]
+    strings = ["a", "é", "ab", " ", "abc", "cab a", "needle", "zzz", "abcab", "", None, "x" * 50, *[t for t in texts[:4]]]
+    got = {(r.source, r.exact_in, r.mentioned_in) for r in coverage.relocation(spark.createDataFrame([(s,) for s in strings], "source string"), spark.createDataFrame(files, "name string, text string")).collect()}
+    want = set()
+    for s in {s for s in strings if s}:
+        exact = {n for n, t in files if t == s}
+        held = {n for n, t in files if t is not None and s in t}
+        join = lambda x: ",".join(sorted(n for n in x if n)) or None
+        want.add((s, join(exact), join(held - exact)))
+    assert got == want
+    assert coverage.relocation(spark.createDataFrame([], "source string"), spark.createDataFrame(files, "name string, text string")).count() == 0
+
+
+def test_relocation_by_asset_and_binaries(spark):
+    strings = spark.createDataFrame([("a1", "Olá"), ("a1", "mapa"), ("a1", "gone"), ("a2", "mapa"), ("a2", None)], "asset string, source string")
+    files = spark.createDataFrame([("f1", "Olá"), ("f2", "o mapa"), ("f3", "mapas")], "name string, text string")
+    blob = bytearray(b"\x00" * 65530 + "gone Olá".encode() + b"\xff" * 10)
+    binary = coverage.binary_places(strings.select("source"), spark.createDataFrame([("b1", blob), ("b2", bytearray())], "name string, content binary"))
+    assert {(r.source, r.name) for r in binary.collect()} == {("gone", "b1"), ("Olá", "b1")}
+    relocated = coverage.relocation(strings, files)
+    got = {r.asset: tuple(r)[1:] for r in coverage.relocation_by_asset(strings, relocated, binary).collect()}
+    assert got == {"a1": (3, 1, 1, 0, 2, "f1", "f2,f3"), "a2": (1, 0, 1, 0, 0, "", "f2,f3")}
+    assert {tuple(r) for r in coverage.relocation_by_destination(strings, relocated).collect()} == {("a1", "f1", 1, 0), ("a1", "f2", 0, 1), ("a1", "f3", 0, 1), ("a2", "f2", 0, 1), ("a2", "f3", 0, 1)}
+
+
+def test_name_sets_and_totals(spark, memory):
+    a, b = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (["x", "y", "y", None], ["y", "z"]))
+    assert {tuple(r) for r in maintenance.name_sets(a, b).collect()} == {("x", "removed"), ("y", "both"), ("z", "added")}
+    rows = spark.createDataFrame([("t1", "m", None), ("t2", "m", None), ("t1", "k", "own"), ("t1", " ", None), ("t2", "n", None)], "table_name string, en string, br string")
+    assert tuple(coverage.missing_unique(rows, memory(("n", "N"))).first()) == (2, 1)
+
+
+def test_encoding_contexts_and_surrogates(spark):
+    m = spark.createDataFrame([("k", "x" * 50 + "nÃ£o\n" + "y" * 50), ("k2", "cafe\u0301"), ("k3", "a\\ud800b"), ("k4", "fine"), ("k5", None)], "source string, target string")
+    got = {(r.source, r.type): (r.match, r.code_points, r.context) for r in audits.encoding_findings(m, with_context=True, raw=True).collect()}
+    assert got[("k", "common_mojibake")] == ("Ã£", "U+00C3 U+00A3", "x" * 34 + "nÃ£o\\n" + "y" * 33)
+    assert got[("k2", "not_nfc_normalized")] == (None, None, "cafe\u0301")
+    assert got[("k3", "lone_surrogate")][:2] == ("\\ud800", "U+D800") and ("k3", "literal_unicode_escape") in got
+    assert {k for k, _ in got} == {"k", "k2", "k3"}
+
+
+def test_states_are_carried_over_chunks(spark):
+    """A third of all rows are of one group; any chunk length gives the same states."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "a", "b", None]), n, rng.choice([None, None, n])) for n in range(400)]
+    df = spark.createDataFrame(rows, "file string, line_no long, x long")
+    want = set()
+    for f in ("a", "b", None):
+        own = [(n, x) for g, n, x in rows if g == f]
+        last, seen = None, 0
+        for i, (n, x) in enumerate(own):
+            last, seen = (x if x is not None else last), seen + (x is not None)
+            want.add((f, n, last, seen, own[i - 1][1] if i else None, own[i + 1][0] if i + 1 < len(own) else None))
+    for chunk in (1, 7, 1000):
+        got = ordered.scanned(df, last={"l": F.col("x")}, count={"c": F.col("x")}, lag={"p": F.col("x")}, lead={"n": F.col("line_no")}, chunk=chunk)
+        assert {(r.file, r.line_no, r.l, r.c, r.p, r.n) for r in got.collect()} == want, chunk
+    assert ordered.scanned(df.limit(0), count={"c": F.col("x")}).count() == 0

@@ -137,6 +137,20 @@ def test_dump_files(spark, tmp_path):
     (tmp_path / "b.txt").write_bytes("é\n".encode("latin-1"))
     got = {(r.file, r.line_no): (r.line, r.line_end) for r in dumps.read_dumps(spark, str(tmp_path)).collect()}
     assert got == {("a.txt", 1): ("é", "\r\n"), ("a.txt", 2): ("b", ""), ("b.txt", 1): ("é", "\n")}
+    # a file of several splits, with every kind of line end, gives the lines of the whole text
+    text = "".join(f"linha é {i}" + ("\r\n", "\n", "\r", "\n\n")[i % 4] for i in range(900)) + "end"
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "c.txt").write_bytes(text.encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        lines = dumps.read_dumps(spark, str(tmp_path / "c"))
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path / "c")).rdd.getNumPartitions() > 1
+        got = [(r.line_no, r.line, r.line_end) for r in lines.orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = dumps.lines_of(spark.createDataFrame([("c", text)], "file string, text string"))
+    assert got == [(r.line_no, r.line, r.line_end) for r in whole.orderBy("line_no").collect()]
     rows = {r.name: r for r in tables.listing(spark, str(tmp_path)).collect()}
     assert rows["b.txt"].bytes == 2 and len(rows["a.txt"].sha256) == 64
 

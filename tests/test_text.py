@@ -51,7 +51,8 @@ def test_usable_without_strip(values):
 def test_encoding(values):
     assert values(T.repair_latin1, ["nÃ£o", "não", "ã", "Łódź", None]) == ["não", "não", "ã", "Łódź", None]
     assert values(T.normalize_punctuation, ["“a”—‘b’… "]) == ["\"a\"-'b'... "]
-    assert values(T.clean_for_dump, ["a\nb\t“c”﻿ "]) == ["ab\t\"c\""]
+    assert values(T.normalize_punctuation, ["\u201ea\u201f \u201ab\u201b\u2013"]) == ["\"a\" 'b'-"]
+    assert values(T.clean_for_dump, ["a\nb\t“c”\ufeff ", " x\u00a0"]) == ["ab\t\"c\" ", " x "]
     kinds = values(lambda t: F.array_join(F.transform(T.encoding_faults(t), lambda f: f["type"]), ","), ["a�", "a​", "a?b", "nÃ£o", "\\u00e3", "", "﷐", "\u0001", "fine?"])
     assert kinds == ["replacement_character", "format_or_invisible", "question_mark_inside_word", "common_mojibake", "literal_unicode_escape", "private_use", "unicode_noncharacter", "invalid_control", ""]
     assert values(T.code_points, ["aé😀"]) == ["U+0061 U+00E9 U+1F600"]
@@ -70,6 +71,12 @@ def test_tokens(values):
         many = " ".join(f"{{{i}}}" for i in range(12))
         assert values(lambda t, s=None: K.restore(K.protect(t, style), K.tokens_of(t, style), style), [many]) == [many]
     assert values(lambda t: K.protect(t, K.SNAKE), ["(snake_case) a_b"]) == ["SNAKETOKEN0END aSNAKETOKEN1ENDb"]
+    mixed = "[name] a\r\n(word) (Word) <x y>{0}\n\\n [lua(f(x)]y)]"
+    assert values(lambda t: K.tokens_of(t, K.MARKUP), [mixed]) == [["[name]", "\r\n", "<x y>", "{0}", "\n", "[lua(f(x)]"]]
+    assert values(lambda t: K.tokens_of(t, K.LAUNCHER), [mixed]) == values(lambda t: K.tokens_of(t, K.MARKUP), [mixed])
+    assert values(lambda t: K.tokens_of(t, K.SNAKE), [mixed]) == [["[name]", "\r\n", "(word)", "<x y>", "{0}", "\n", "[lua(f(x)]"]]
+    assert values(lambda t: K.tokens_of(t, K.BRACKETS), ["[] (a) {\n} <b>"]) == [["[]", "(a)", "<b>"]]
+    assert values(lambda t: K.protect(t, K.MARKUP.marked("__OWN_", "__")), ["a {x}"]) == ["a __OWN_0__"]
     assert values(lambda a, b: K.lost(b, K.tokens_of(a, K.MARKUP), K.MARKUP), ["{0} {1}"], ["__MARK_1__"]) == [["{0}"]]
 
 
@@ -88,8 +95,17 @@ def test_words_and_names(values):
 def test_spaces_and_keys(values):
     assert values(T.squeeze, ["  a \n b "]) == ["a b"]
     assert values(T.comparable_key, ["a\\\\u00a0b\\nc", "a b\nc"]) == ["a b\nc", "a b\nc"]
-    assert values(T.variants, ["nÃ£o…"]) == [["nÃ£o…", "nÃ£o..."]]
+    assert values(T.variants, ["nÃ£o…", "“nÃ£o”", "itâ\x80\x99s"]) == [["nÃ£o…", "nÃ£o..."], ["“nÃ£o”", '"nÃ£o"'], ["itâ\x80\x99s", "it’s", "it's"]]
     assert values(T.sentences, ["A. B? C"]) == [["A.", "B?", "C"]]
     assert values(lambda t: F.concat_ws("|", *T.outer_space(t)), [" \na b "]) == [" \n|a b| "]
     assert values(T.csv_cell, ["", "a\"b", None]) == ["", '"a""b"', ""]
     assert values(T.escape_markdown, ["a|b\r\nc"]) == ["a\\|b`\\r`<br>c"]
+
+
+def test_lone_surrogates(values):
+    raw = ["\\ud83d\\ude00", "\\ud83d x", "x\\uDE00", "\\\\ud83d", "\\\\\\ud83d", "\\ud83d\\ud83d\\ude00", "plain", None]
+    assert values(T.lone_surrogates, raw) == [[], ["\\ud83d"], ["\\uDE00"], [], ["\\ud83d"], ["\\ud83d"], [], []]
+
+
+def test_rule_patterns_keep_classes_by_property():
+    assert T.regex(r"\bI\S+\W\p{Lu}X") == T.ASCII_BORDER + r"i\S+\W\p{Lu}x"

@@ -18,17 +18,50 @@ PARTIAL_ENGLISH = (
     "mother father witch workshop broomstick museum recipe candy book train ticket village house"
 ).split()
 #: Portuguese forms that show the speaker's gender, masculine and feminine.
-GENDER_PAIRS = tuple(
-    (w, w[:-1] + "a")
-    for w in (
-        "obrigado animado cansado preocupado surpreso curioso ansioso aliviado ocupado confuso impressionado interessado empolgado "
-        "chocado nervoso sozinho grato certo convencido perdido pronto decepcionado entediado assustado envergonhado acostumado"
-    ).split()
+GENDER_PAIRS = (
+    ("obrigado", "obrigada"),
+    ("animado", "animada"),
+    ("cansado", "cansada"),
+    ("preocupado", "preocupada"),
+    ("surpreso", "surpresa"),
+    ("curioso", "curiosa"),
+    ("ansioso", "ansiosa"),
+    ("aliviado", "aliviada"),
+    ("ocupado", "ocupada"),
+    ("confuso", "confusa"),
+    ("impressionado", "impressionada"),
+    ("interessado", "interessada"),
+    ("empolgado", "empolgada"),
+    ("chocado", "chocada"),
+    ("nervoso", "nervosa"),
+    ("sozinho", "sozinha"),
+    ("grato", "grata"),
+    ("certo", "certa"),
+    ("convencido", "convencida"),
+    ("perdido", "perdida"),
+    ("pronto", "pronta"),
+    ("decepcionado", "decepcionada"),
+    ("entediado", "entediada"),
+    ("assustado", "assustada"),
+    ("envergonhado", "envergonhada"),
+    ("acostumado", "acostumada"),
 )
 #: Forms whose change of gender a guard rejects.
-GUARDED_GENDER = tuple(
-    (w, w[:-1] + "a")
-    for w in "obrigado direto pronto sozinho cansado perdido animado ocupado preocupado felizardo confuso assustado desculpado digno".split()
+GUARDED_GENDER = (
+    ("obrigado", "obrigada"),
+    ("direto", "direta"),
+    ("pronto", "pronta"),
+    ("sozinho", "sozinha"),
+    ("cansado", "cansada"),
+    ("perdido", "perdida"),
+    ("animado", "animada"),
+    ("ocupado", "ocupada"),
+    ("preocupado", "preocupada"),
+    ("felizardo", "felizarda"),
+    ("confuso", "confusa"),
+    ("assustado", "assustada"),
+    ("desculpado", "desculpada"),
+    ("digno", "digna"),
 )
 #: Texts that stand for themselves.
 PASS_THROUGH = ("???", "...", "-", "_")

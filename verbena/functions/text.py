@@ -22,6 +22,7 @@ LUA = r"\[lua\((?:[^()]|\([^()]*\))*\)\]"
 EM = r"\[/?em\d+\]"
 TAG = r"</?[^>]+>"
 BRACES = r"\{[^}]+\}"
+#: What counts as a technical token.
 TECHNICAL_TOKEN = r"\[lua\(.*?\)\]|\[/?em\d*\]|<[^<>]+>|\{[^{}]+\}|%[sdif]|\\n|\\r"
 WORD = r"\p{L}+(?:['\u2019]\p{L}+)?"
 CJK = r"[\u3400-\u4DBF\u4E00-\u9FFF\u3040-\u30FF\uAC00-\uD7AF]"
@@ -33,7 +34,7 @@ def regex(pattern: str) -> str:
     \\b is a border that knows ASCII letters only. Letters of the pattern become small, but for
     those of a character class by property.
     """
-    small = re.sub(r"\\p\{\w+\}|.", lambda m: m.group() if len(m.group()) > 1 else m.group().lower(), pattern)
+    small = re.sub(r"\\p\{\w+\}|\\.|.", lambda m: m.group() if len(m.group()) > 1 else m.group().lower(), pattern)
     return small.replace(r"\b", ASCII_BORDER)
 
 
@@ -78,6 +79,7 @@ def translatable(text: Column) -> Column:
 def technical(text: Column) -> Column:
     """No word of two ASCII letters, the name of a command, or an identifier in capitals."""
     t = ws_trim(text)
+    # fixed values: what a command starts with
     commands = r"(?i)^(?:GetQuest|SetQuest|SendMessage|SetFace|Variable|Actor|Conversation|Sequencer|Lua|\[lua|\{|\()"
     return F.coalesce(~t.rlike("[A-Za-z]{2}") | t.rlike(commands) | t.rlike("^[_A-Z0-9.:-]+$"), F.lit(False))
 
@@ -99,7 +101,6 @@ def replacement_fault(source: Column, target: Column) -> Column:
     return (
         F.when(target.isNull(), "null")
         .when(is_blank(target), "blank")
-        .when(ws_trim(target).rlike("^#+$"), "placeholder")
         .when(has_cjk(target), "cjk")
         .when(ws_trim(target) == ws_trim(source), "equal_to_source")
     )
@@ -161,14 +162,25 @@ def repair_guarded(text: Column) -> Column:
     return F.when(F.regexp_count(new, F.lit("\ufffd")) > F.regexp_count(text, F.lit("\ufffd")), text).otherwise(new)
 
 
+#: Typographic signs and the plain ones put in their place.
+PUNCTUATION = {
+    "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"',
+    "\u2013": "-", "\u2014": "-", "\u2026": "...", "\u00a0": " ",
+}
+
+
 def normalize_punctuation(text: Column) -> Column:
-    return F.replace(F.translate(text, "\u2018\u2019\u201c\u201d\u2013\u2014\u00a0", "''\"\"-- "), F.lit("\u2026"), F.lit("..."))
+    single = {k: v for k, v in PUNCTUATION.items() if len(v) == 1}
+    out = F.translate(text, "".join(single), "".join(single.values()))
+    for sign in PUNCTUATION.keys() - single.keys():
+        out = F.replace(out, F.lit(sign), F.lit(PUNCTUATION[sign]))
+    return out
 
 
 def clean_for_dump(text: Column) -> Column:
-    """Plain quotes and spaces, no byte order mark; control characters but tabs go, line breaks with them."""
+    """Plain quotes and spaces, no byte order mark; control characters but tabs go, line breaks with them. Outer blanks stay."""
     plain = F.translate(text, "\u2018\u2019\u201c\u201d\u00a0\ufeff", "''\"\" ")
-    return ws_trim(F.regexp_replace(plain, r"[\x00-\x08\x0A-\x1F]", ""))
+    return F.regexp_replace(plain, r"[\x00-\x08\x0A-\x1F]", "")
 
 
 #: What the encoding audit looks for.
@@ -193,6 +205,13 @@ def encoding_faults(text: Column) -> Column:
     return F.flatten(F.array(*[found(kind, pattern) for kind, pattern in ENCODING_FAULTS.items()]))
 
 
+def lone_surrogates(raw: Column) -> Column:
+    """Written-out surrogates without their other half in raw JSON text; a decoded string can't hold them."""
+    high, low = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+    alone = rf"(?<!\\)(?:\\\\)*({high}(?!{low})|(?<!{high}){low})"
+    return F.coalesce(F.regexp_extract_all(raw, F.lit(alone), F.lit(1)), F.array().cast("array<string>"))
+
+
 def code_points(text: Column) -> Column:
     """The code points of a text as U+XXXX, with spaces between them."""
     units = F.transform(F.split(text, ""), lambda c: F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(c)), F.greatest(F.length(F.hex(F.ascii(c))), F.lit(4)), "0")))
@@ -283,6 +302,7 @@ def _markers(gender: str) -> str:
 
 def speaks_as(text: Column, gender: str) -> Column:
     """The text's first person is marked with a gender."""
+    # fixed values: the frames that show a person's gender
     copula = rf"(?iu)(?<!\p{{L}})(?:eu\s+)?(?:estou|sou|fiquei|me sinto|continuo|ficarei|estarei)\s+(?:muito\s+|bem\s+|realmente\s+|tão\s+)?(?:{_markers(gender)})(?!\p{{L}})"
     thanks = rf"(?iu)(?<!\p{{L}})obrigad{'a' if gender == 'feminino' else 'o'}(?!\p{{L}})"
     return F.coalesce(text.rlike(copula) | text.rlike(thanks), F.lit(False))
@@ -291,6 +311,7 @@ def speaks_as(text: Column, gender: str) -> Column:
 def speaks_to(text: Column, gender: str) -> Column:
     """The person addressed is marked with a gender."""
     end = "a" if gender == "feminino" else "o"
+    # fixed values: the frames that show the gender of the person addressed
     you = rf"(?iu)(?<!\p{{L}})você\s+(?:está|é|ficou|parece|anda|continua)\s+(?:muito\s+|bem\s+|realmente\s+|tão\s+)?(?:{_markers(gender)})(?!\p{{L}})"
     order = rf"(?iu)(?:^|[.!?]\s+)(?:esteja|fique|seja)\s+(?:muito\s+|bem\s+)?(?:{_markers(gender)})(?!\p{{L}})"
     welcome = rf"(?iu)(?<!\p{{L}})bem-vind{end}(?!\p{{L}})"
@@ -323,9 +344,9 @@ def comparable_key(text: Column, double_escapes: bool = True) -> Column:
 
 
 def variants(text: Column) -> Column:
-    """The text, repaired, with plain punctuation, and both; each once, in this order."""
+    """The text, with plain punctuation, repaired, and repaired with plain punctuation; each once, in this order."""
     repaired = repair_guarded(text)
-    return F.array_distinct(F.array(text, repaired, normalize_punctuation(text), normalize_punctuation(repaired)))
+    return F.array_distinct(F.array(text, normalize_punctuation(text), repaired, normalize_punctuation(repaired)))
 
 
 def sentences(text: Column) -> Column:

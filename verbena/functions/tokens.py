@@ -6,7 +6,7 @@ array beside it. Marks end in a sign that no number continues, so mark 1 isn't p
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,11 +20,16 @@ class Style:
     before: str
     after: str
 
+    def marked(self, before: str, after: str) -> Style:
+        """The same tokens under other marks, such as those that stored texts already hold."""
+        return replace(self, before=before, after=after)
 
-BRACKETS = Style(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>", "__TOKEN_", "__")
-MARKUP = Style(r"\[lua\((?:[^()]|\([^()]*\))*\)\]|\[/?em\d*\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "__MARK_", "__")
-SNAKE = Style(r"\{[^{}]+\}|<[^<>]+>|\([a-z0-9]+(?:_[a-z0-9]+)+\)|_", "SNAKETOKEN", "END")
-LAUNCHER = Style(r"\[[^\]]+\]|<[^<>]+>|\{[^{}]+\}|\\[nr]", "MARK_", "_END")
+
+#: What the styles protect. Brackets of the first end on their line, the others may hold line breaks.
+BRACKETS = Style(r"\[[^\]\n]*\]|\([^)\n]*\)|\{[^}\n]*\}|<[^>\n]*>", "__TOKEN_", "__")
+MARKUP = Style(r"\r\n|\r|\n|\[lua\((?s:.*?)\)\]|\[[^\]]+\]|<[^>]+>|\{[^{}]+\}", "__MARK_", "__")
+SNAKE = Style(r"\r\n|\r|\n|\[[^\]]+\]|<[^>]+>|\{[^{}]+\}|\([a-z_][a-z0-9_]*\)|_", "SNAKETOKEN", "END")
+LAUNCHER = MARKUP.marked("MARK_", "_END")
 
 
 def tokens_of(text: Column, style: Style) -> Column:

@@ -7,18 +7,34 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions import text as T
-from ..functions.udfs import is_nfc
+from ..functions.udfs import faults_with_context, is_nfc
+from ..session import ship
 
 
-def encoding_findings(memory: DataFrame) -> DataFrame:
-    """source, side (key or value), type, match of each fault; texts that aren't NFC have a row without match."""
+def encoding_findings(memory: DataFrame, with_context: bool = False, raw: bool = False) -> DataFrame:
+    """source, side (key or value), type, match of each fault; texts that aren't NFC have a row without match.
+
+    `with_context` adds `code_points` of the match and `context`, up to 35 characters on both
+    sides of it (the first 100 of a text that isn't NFC); only texts with a fault leave the JVM
+    for it. `raw` says that the texts are JSON as written, where lone surrogates can be seen.
+    """
+    ship(memory.sparkSession)
     sides = []
     for side, column in (("key", "source"), ("value", "target")):
         rows = memory.select("source", F.lit(side).alias("side"), F.col(column).alias("_t")).filter("_t is not null")
-        sides.append(rows.select("source", "side", F.explode(T.encoding_faults(F.col("_t"))).alias("f")).select("source", "side", "f.type", "f.match"))
+        text = F.col("_t")
+        if with_context:
+            found = F.explode(faults_with_context(F.when(F.exists(F.array(*[text.rlike(p) for p in T.ENCODING_FAULTS.values()]), lambda x: x), text)))
+            sides.append(rows.select("source", "side", found.alias("f")).select("source", "side", "f.type", "f.match", T.code_points(F.col("f.match")).alias("code_points"), "f.context"))
+        else:
+            sides.append(rows.select("source", "side", F.explode(T.encoding_faults(text)).alias("f")).select("source", "side", "f.type", "f.match"))
+        none = F.lit(None).cast("string")
+        if raw:
+            alone = rows.select("source", "side", F.lit("lone_surrogate").alias("type"), F.explode(T.lone_surrogates(text)).alias("match"), *([none.alias("code_points"), none.alias("context")] if with_context else []))
+            sides.append(alone.withColumn("code_points", F.concat(F.lit("U+"), F.upper(F.substring("match", 3, 4)))) if with_context else alone)
         # pure ASCII is NFC; only other texts go through the UDF
-        unsafe = rows.filter(F.col("_t").rlike(r"[^\x00-\x7F]")).filter(~is_nfc("_t"))
-        sides.append(unsafe.select("source", "side", F.lit("not_nfc_normalized").alias("type"), F.lit(None).cast("string").alias("match")))
+        unsafe = rows.filter(text.rlike(r"[^\x00-\x7F]")).filter(~is_nfc("_t"))
+        sides.append(unsafe.select("source", "side", F.lit("not_nfc_normalized").alias("type"), none.alias("match"), *([none.alias("code_points"), F.left(text, F.lit(100)).alias("context")] if with_context else [])))
     out = sides[0]
     for s in sides[1:]:
         out = out.unionByName(s)

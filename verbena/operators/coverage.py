@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -44,6 +44,13 @@ def by_table(rows: DataFrame, memory: DataFrame) -> DataFrame:
     )
 
 
+def missing_unique(rows: DataFrame, memory: DataFrame) -> DataFrame:
+    """One row: the missing texts of all tables, and how many of them are different; not a sum over tables."""
+    chosen = lookup.asset_or_memory(rows.filter(~T.is_blank(F.col("en"))), memory).filter("origin = 'missing'")
+    parts = chosen.groupBy("en").agg(F.count("*").alias("_n"))  # equal texts are put together on the map side
+    return parts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("missing"), F.count("*").alias("missing_unique"))
+
+
 def verified(written: DataFrame, expected: DataFrame, key: tuple[str, ...], value: str) -> DataFrame:
     """Rows that were read back and aren't what was chosen: key, expected, actual."""
     a = expected.select(*key, F.col(value).alias("expected"))
@@ -75,17 +82,96 @@ def artifact_state(current: DataFrame, previous: DataFrame) -> DataFrame:
     return joined.select("flow", "name", "sha256", F.coalesce(F.col("_old") != F.col("sha256"), F.lit(False)).alias("changed"), F.col("_old").isNull().alias("no_history"))
 
 
+#: Length of the pieces by which a string's likely places are found; shorter strings are their own piece.
+PIECE = 5
+
+
+def _pieces(text: Column, length: Column) -> Column:
+    """Each distinct run of `length` characters of a text."""
+    chars = F.split(text, "")
+    starts = F.when(F.size(chars) >= length, F.sequence(F.lit(1), F.size(chars) - length + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, length), "")))
+
+
+def containing(strings: DataFrame, texts: DataFrame) -> DataFrame:
+    """source, text of each distinct text that holds a string (source), as part of a word too; complete for every string.
+
+    Each string is looked for by the rarest of its pieces, counted over all texts, so that no
+    text is compared with a string whose rarest piece it lacks. Pieces are joined by equality.
+    """
+    s = strings.select("source").filter("source is not null and source <> ''").distinct()
+    t = texts.select("text").filter("text is not null").distinct()
+    length = F.least(F.char_length("source"), F.lit(PIECE))
+    of_strings = s.select("source", length.alias("_len"), F.explode(_pieces(F.col("source"), length)).alias("_piece"))
+    used = sorted(r.n for r in s.select(length.alias("n")).distinct().collect())  # at most PIECE rows
+    if not used:
+        return t.select(F.lit("").alias("source"), "text").filter(F.lit(False))
+    # a text goes by its hash until its pieces are joined; texts of one hash are told apart at the end
+    of_texts = t.select(F.xxhash64("text").alias("_hash"), F.explode(F.flatten(F.array(*[_pieces(F.col("text"), F.lit(n)) for n in used]))).alias("_piece"))
+    counted = of_texts.join(of_strings.select("_piece").distinct(), "_piece", "left_semi").groupBy("_piece").agg(F.count("*").alias("_n"))
+    # a piece that no text has makes its string's places none at once
+    probes = of_strings.join(counted, "_piece", "left").groupBy("source").agg(F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), F.col("_piece"))).alias("_piece"))
+    likely = of_texts.join(probes, "_piece").select("_hash", "source").distinct()
+    return likely.join(t.withColumn("_hash", F.xxhash64("text")), "_hash").filter(F.contains("text", "source")).select("source", "text")
+
+
 def relocation(strings: DataFrame, files: DataFrame, text_col: str = "source") -> DataFrame:
     """source, exact_in, mentioned_in: names of files that hold a string as an entry, and of others that hold it within one.
 
     `files` has name and text, a row per entry. Every string is searched for in every entry, as
-    part of a word too; a file counts as exact or as mentioning, string by string. `strings` is a
-    bounded list: each entry is compared with each of them, and only pairs that hold go on.
+    part of a word too; a file counts as exact or as mentioning, string by string. Null and
+    empty strings are left out, repeated ones stand once; null texts hold nothing.
     """
     s = strings.select(F.col(text_col).alias("source")).filter("source is not null and source <> ''").distinct()
-    f = files.select("name", "text").filter("text is not null")
-    held = s.join(f, F.contains("text", "source")).groupBy("source", "name").agg(F.bool_or(F.col("text") == F.col("source")).alias("_exact"))
+    f = files.select("name", "text").filter("text is not null").distinct()
+    held = containing(s, f).join(f, "text").groupBy("source", "name").agg(F.bool_or(F.col("text") == F.col("source")).alias("_exact"))
     names = lambda hit: F.array_join(F.array_sort(F.collect_set(F.when(hit, F.col("name")))), ",")
     places = held.groupBy("source").agg(names(F.col("_exact")).alias("exact_in"), names(~F.col("_exact")).alias("mentioned_in"))
     blank = lambda c: F.when(F.col(c) != "", F.col(c)).alias(c)
     return s.join(places, "source", "left").select("source", blank("exact_in"), blank("mentioned_in"))
+
+
+def binary_windows(binaries: DataFrame, strings: DataFrame, size: int = 1 << 16) -> DataFrame:
+    """name, text: overlapping windows of binary files (name, content), a character for each byte, for `binary_places`."""
+    most = strings.agg(F.max(F.octet_length("source"))).first()[0] or 0
+    starts = F.sequence(F.lit(1), F.greatest(F.octet_length("content"), F.lit(1)), F.lit(size))
+    return binaries.select("name", "content", F.explode(starts).alias("_at")).select("name", F.decode(F.substring("content", F.col("_at"), F.lit(size + most)), "ISO-8859-1").alias("text"))
+
+
+def binary_places(strings: DataFrame, binaries: DataFrame) -> DataFrame:
+    """source, name of each binary file (name, content) whose bytes hold a string's UTF-8 bytes."""
+    s = strings.select("source").filter("source is not null and source <> ''").distinct()
+    shown = s.select("source", F.decode(F.encode("source", "UTF-8"), "ISO-8859-1").alias("_shown"))
+    windows = binary_windows(binaries, s)
+    held = containing(shown.select(F.col("_shown").alias("source")), windows).join(windows, "text").select(F.col("source").alias("_shown"), "name").distinct()
+    return held.join(shown, "_shown").select("source", "name")
+
+
+def relocation_by_asset(strings: DataFrame, relocated: DataFrame, binary: DataFrame | None = None) -> DataFrame:
+    """asset, strings, exact, mentioned, nowhere, exact_files, mentioned_files, in_binaries of each asset's distinct strings.
+
+    `strings` has asset and source, `binary` source and name. A string is nowhere if no file and
+    no binary holds it, mentioned if it is in files but exact in none. Lists of files are sorted.
+    """
+    s = strings.select("asset", "source").filter("source is not null and source <> ''").distinct().join(relocated, "source", "left")
+    places = binary.groupBy("source").agg(F.count("*").alias("_b")) if binary is not None else None
+    s = s.join(places, "source", "left") if places is not None else s.withColumn("_b", F.lit(None).cast("long"))
+    exact, mentioned = F.col("exact_in").isNotNull(), F.col("mentioned_in").isNotNull()
+    files = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(c, ","))))), ",")
+    return s.groupBy("asset").agg(
+        F.count("*").alias("strings"),
+        F.count_if(exact).alias("exact"),
+        F.count_if(~exact & mentioned).alias("mentioned"),
+        F.count_if(~exact & ~mentioned & F.col("_b").isNull()).alias("nowhere"),
+        F.count("_b").alias("in_binaries"),
+        files("exact_in").alias("exact_files"),
+        files("mentioned_in").alias("mentioned_files"),
+    )
+
+
+def relocation_by_destination(strings: DataFrame, relocated: DataFrame) -> DataFrame:
+    """asset, destination, exact, mentioned: how many of an asset's distinct strings each file holds, and how."""
+    s = strings.select("asset", "source").filter("source is not null and source <> ''").distinct().join(relocated, "source")
+    places = lambda c, kind: F.transform(F.coalesce(F.split(c, ","), F.array().cast("array<string>")), lambda x: F.struct(x.alias("d"), F.lit(kind).alias("k")))
+    rows = s.select("asset", F.explode(F.concat(places("exact_in", "exact"), places("mentioned_in", "mentioned"))).alias("x"))
+    return rows.groupBy("asset", F.col("x.d").alias("destination")).agg(F.count_if(F.col("x.k") == "exact").alias("exact"), F.count_if(F.col("x.k") == "mentioned").alias("mentioned"))

@@ -5,11 +5,12 @@ A memory has source, target and ord; results carry ord on, so the order of entri
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..session import stored
+from .ordered import numbered
 
 
 def difference(old: DataFrame, new: DataFrame, removed: bool = True) -> DataFrame:
@@ -93,6 +94,12 @@ def id_check(expected: DataFrame, answered: DataFrame, key: str = "id") -> DataF
     return a.join(b, key, "full").select(key, F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("ok").alias("status"))
 
 
+def name_sets(old: DataFrame, new: DataFrame, key: str = "name") -> DataFrame:
+    """key, side: `both`, `removed` (old alone) or `added` (new alone) of each distinct name; nulls are no names."""
+    a, b = (df.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True)) for df, flag in ((old, "_a"), (new, "_b")))
+    return a.join(b, key, "full").select(key, F.when(F.col("_b").isNull(), "removed").when(F.col("_a").isNull(), "added").otherwise("both").alias("side"))
+
+
 def set_gate(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """missing, extra, ok: whether two sets of rows are equal."""
     missing, extra = expected.exceptAll(actual), actual.exceptAll(expected)
@@ -120,8 +127,8 @@ def ordinals(df: DataFrame, *order: str | Column, name: str = "n") -> DataFrame:
 
 def batches(df: DataFrame, size: int, *order: str | Column) -> DataFrame:
     """df with `batch` (from 1) and `id` within the batch (from 0)."""
-    numbered = ordinals(df, *order, name="_n")
-    return numbered.withColumn("batch", F.floor(F.col("_n") / size) + 1).withColumn("id", F.col("_n") % size).drop("_n")
+    placed = ordinals(df, *order, name="_n")
+    return placed.withColumn("batch", F.floor(F.col("_n") / size) + 1).withColumn("id", F.col("_n") % size).drop("_n")
 
 
 def batch_report(batched: DataFrame, key: str = "source") -> DataFrame:
@@ -129,10 +136,11 @@ def batch_report(batched: DataFrame, key: str = "source") -> DataFrame:
 
 
 def positional(left: DataFrame, right: DataFrame, by: tuple[str, ...], order: str) -> DataFrame:
-    """left rows with the right row at the same place of the same group, if there is one; right columns get `_right`."""
-    w = Window.partitionBy(*by).orderBy(order)
-    a = left.withColumn("_i", F.row_number().over(w))
-    b = right.withColumn("_i", F.row_number().over(w))
+    """left rows with the right row at the same place of the same group, if there is one; right columns get `_right`.
+
+    `order` is a whole number; places are counted over chunks of it, so a hot group isn't one task's.
+    """
+    a, b = numbered(left, by, order, "_i"), numbered(right, by, order, "_i")
     b = b.select(*by, "_i", *[F.col(c).alias(f"{c}_right") for c in right.columns if c not in by])
     return a.join(b, [*by, "_i"], "left").withColumnRenamed("_i", "place")
 

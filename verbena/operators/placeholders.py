@@ -32,6 +32,8 @@ class Case(NamedTuple):
     order: str | None = None
     changed: str | None = None
     unless: str | None = None
+    #: Whether group 1 holds placeholders in a row, put behind with one space between them.
+    row: bool = False
 
 
 #: The cases in their order. `order` names groups of the pattern.
@@ -47,9 +49,9 @@ CASES = (
     Case(rf"\{{Fish(?:Name|Grade)\.[^{{}}]+\}}.*{PROP_NAME}", "fish_com_interiorprop_nao_alterado"),
     Case(rf"^{PROP_NAME}\s+de\s+{REFERENCE}$", "ja_estava_correto_interiorbasic_de_referencia"),
     Case(rf"^({REFERENCE})\s+({PROP_NAME})$", "sem_mudanca_referencia", "$2 de $1", "referencia_antes_interiorbasic_corrigida_com_de"),
-    Case(rf"(?s)^({PROP_THEME}(?:\s*{PROP_THEME})*)\s*(.+)$", "sem_mudanca_interiorprop_theme", "$2 $1", "interiorprop_theme_movido_para_o_final", rf"^(?:\s*{PROP_THEME})+$"),
+    Case(rf"(?s)^({PROP_THEME}(?:\s*{PROP_THEME})*)\s*(.+)$", "sem_mudanca_interiorprop_theme", "$2 $1", "interiorprop_theme_movido_para_o_final", rf"^(?:\s*{PROP_THEME})+$", True),
     Case(rf"^(.+?)\s+({PROP_NAME})$", "sem_mudanca_texto_antes_interiorbasic", "$2 de $1", "texto_antes_interiorbasic_corrigido_com_de", r"\{Fish(?:Name|Grade)\.|^\{InteriorProp(?:BasicName|Theme)\."),
-    Case(rf"(?s)^({BROOM_THEME}(?:\s*{BROOM_THEME})*)\s*(.+)$", "sem_mudanca_broomstick_theme_generico", "$2 $1", "broomstick_theme_movido_para_o_final_generico", rf"_Description\}}|^(?:\s*{BROOM_THEME})+$"),
+    Case(rf"(?s)^({BROOM_THEME}(?:\s*{BROOM_THEME})*)\s*(.+)$", "sem_mudanca_broomstick_theme_generico", "$2 $1", "broomstick_theme_movido_para_o_final_generico", rf"_Description\}}|^(?:\s*{BROOM_THEME})+$", True),
     Case(QUALITY, "effectfood_qualidade_existe_mas_nao_entrou_nas_regras"),
     Case(FOOD, "tem_effectfood_mas_nao_entrou_nas_regras"),
     Case(PROP_THEME, "interiorprop_theme_existe_mas_nao_esta_no_inicio"),
@@ -70,7 +72,12 @@ def _decided(value: Column, core: Column) -> Column:
         holds = core.rlike(c.pattern)
         if c.unless:
             holds = holds & ~core.rlike(c.unless)
-        new = T.squeeze(F.regexp_replace(core, c.pattern, c.order)) if c.order else value
+        new = value
+        if c.row:
+            first, rest = (F.regexp_extract(core, c.pattern, i) for i in (1, 2))
+            new = T.squeeze(F.concat_ws(" ", rest, F.regexp_replace(first, r"\}\s*\{", "} {")))
+        elif c.order:
+            new = T.squeeze(F.regexp_replace(core, c.pattern, c.order))
         case = case.when(holds, _result(value, new, c.unchanged, c.changed))
     return case.otherwise(_result(value, value, "sem_placeholder_relevante", None))
 

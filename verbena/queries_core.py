@@ -192,8 +192,8 @@ def positional_pairs(spark, sf_dir):
 
 def context_index(spark, sf_dir):
     c = _contexts(spark, sf_dir).filter("source <> ''")
-    entry = F.struct("field_id", F.concat_ws(":", F.col("conversation_id").cast("string"), F.coalesce("actor_name", F.lit("?"))).alias("t"))
-    return c.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["t"]), ";").alias("contexts"))
+    # a row for each text, conversation and speaker: no text's contexts are one value
+    return c.groupBy("source", "conversation_id", "actor_name").agg(F.count("*").alias("entries"), F.min("field_id").alias("first_field"))
 
 
 def single_speakers(spark, sf_dir):
@@ -229,20 +229,30 @@ def rule_counts(spark, sf_dir):
     return rules.rule_counts(spark, rules.audited(_memory(spark, sf_dir)))
 
 
+def _audited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Portuguese fields, and answers of the log with their English source."""
+    answers = _changes(spark, sf_dir).select((-F.col("change_id")).alias("ord"), F.coalesce("source", F.lit("")).alias("source"), F.col("after").alias("target")).filter("target is not null")
+    return _portuguese(spark, sf_dir).select("ord", "source", "target").unionByName(answers)
+
+
 def rule_candidates(spark, sf_dir):
-    found = rules.candidates(rules.audited(_portuguese(spark, sf_dir)))
+    found = rules.candidates(rules.audited(_audited_texts(spark, sf_dir)))
     return rules.in_review_order(found).select("ord", "rank", F.array_join("reasons.id", ",").alias("ids"))
 
 
 def rule_categories(spark, sf_dir):
-    return rules.category_counts(rules.audited(_portuguese(spark, sf_dir)))
+    return rules.category_counts(rules.audited(_audited_texts(spark, sf_dir)))
 
 
 def gender_mismatches(spark, sf_dir):
     pt = _portuguese(spark, sf_dir)
     cast = table(spark, sf_dir, "actors").select(F.col("actor_name").alias("name"), F.when(F.col("gender") == "f", "feminino").when(F.col("gender") == "m", "masculino").alias("gender"), "actor_id")
-    contexts = pt.join(F.broadcast(cast), "actor_id", "left").select("source", F.col("name").alias("actor_name"), F.lit(None).cast("string").alias("conversant_name"))
-    memory = pt.select("source", "target").distinct()
+    # the person addressed is the next one of the cast
+    addressed = cast.select((F.col("actor_id") - 1).alias("actor_id"), F.col("name").alias("conversant_name"))
+    contexts = pt.join(F.broadcast(cast), "actor_id", "left").join(F.broadcast(addressed), "actor_id", "left").select("source", F.col("name").alias("actor_name"), "conversant_name")
+    greeted = lambda c: F.concat(F.lit("Bem-vinda, "), F.col(c)).alias(c)
+    contexts = contexts.unionByName(contexts.select(greeted("source"), "actor_name", "conversant_name"))
+    memory = pt.select("source", "target").unionByName(pt.select(greeted("source"), greeted("target"))).distinct()
     audit = rules.with_gender_reasons(memory.withColumn("reasons", rules.no_reasons()), contexts, cast)
     return audit.filter("size(reasons) > 0").select("source", F.array_join("reasons.id", ",").alias("ids"))
 
@@ -265,7 +275,11 @@ def untranslated_buckets(spark, sf_dir):
     exported = f.select(F.col("conversation_id").alias("file"), F.col("field_id").alias("place"), F.col("field_id").alias("line_no"), F.col("field_value").alias("value"))
     names = table(spark, sf_dir, "actors").select(F.col("actor_name").alias("source"), F.col("actor_name").alias("target"), F.col("actor_id").cast("long").alias("ord"))
     memory = memories.last_wins(_memory(spark, sf_dir).select("source", "target", "ord").unionByName(names).withColumn("memory_id", F.lit("m"))).drop("memory_id", "ord")
-    return audits.untranslated(exported, exported, memory)
+    # the output was made when only approved answers had been taken over, and late rows weren't there yet
+    approved = memories.last_wins(_changes(spark, sf_dir).filter("source is not null and upper(trim(decision)) = 'APROVAR'").select(F.lit("m").alias("memory_id"), F.col("change_id").alias("ord"), "source", F.col("after").alias("target")))
+    written = lookup.exact(f.filter("loaded_at < exported_at + interval 1 day").select("conversation_id", "field_id", F.col("field_value").alias("source")), approved)
+    output = written.select(F.col("conversation_id").alias("file"), F.col("field_id").alias("place"), F.coalesce("target", "source").alias("value"))
+    return audits.untranslated(exported, output, memory)
 
 
 def name_findings(spark, sf_dir):
@@ -421,12 +435,12 @@ def blank_memory(spark, sf_dir):
 
 def unfaulted_targets(spark, sf_dir):
     m = _memory(spark, sf_dir).withColumn("reason", T.replacement_fault(F.col("source"), F.col("target")))
-    return summaries.without(m, ["null", "blank", "placeholder", "cjk", "equal_to_source"])[0].select("source", "target")
+    return summaries.without(m, ["null", "blank", "cjk", "equal_to_source"])[0].select("source", "target")
 
 
 def faulted_targets(spark, sf_dir):
     m = _memory(spark, sf_dir).withColumn("reason", T.replacement_fault(F.col("source"), F.col("target")))
-    return summaries.without(m, ["null", "blank", "placeholder", "cjk", "equal_to_source"])[1]
+    return summaries.without(m, ["null", "blank", "cjk", "equal_to_source"])[1]
 
 
 def file_pairs(spark, sf_dir):
@@ -436,6 +450,74 @@ def file_pairs(spark, sf_dir):
     return summaries.file_pairs(one(side("en")), one(side("pt-BR")))[0]
 
 
+def _asset_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "missing_text").select("asset", F.col("source_text").alias("source"))
+
+
+def _relocated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "localized_entries").select(F.col("asset_file").alias("name"), F.col("m_localized").alias("text"))
+    return coverage.relocation(_asset_strings(spark, sf_dir), files)
+
+
+def relocation_by_asset(spark, sf_dir):
+    return coverage.relocation_by_asset(_asset_strings(spark, sf_dir), _relocated_strings(spark, sf_dir)).drop("in_binaries")
+
+
+def relocation_by_destination(spark, sf_dir):
+    return coverage.relocation_by_destination(_asset_strings(spark, sf_dir), _relocated_strings(spark, sf_dir))
+
+
+def asset_names(spark, sf_dir):
+    name = lambda t, c: table(spark, sf_dir, t).select(F.col(c).alias("name"))
+    return maintenance.name_sets(name("missing_text", "asset"), name("localized_entries", "asset_file"))
+
+
+def tables_missing_unique(spark, sf_dir):
+    e = _entries(spark, sf_dir).filter("flow = 'chef'").select("table_name", F.col("source").alias("en"), F.lit(None).cast("string").alias("br"))
+    return coverage.missing_unique(e, _memory(spark, sf_dir))
+
+
+def protected_forms(spark, sf_dir):
+    """Marked texts and their tokens in two styles, over texts with brackets of every kind and real line breaks."""
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    v = F.concat(F.col("m_localized"), F.lit(" (snake_case) (Word)\n[name]<a b>{x}"))
+    forms = [c for n, s in (("markup", K.MARKUP), ("snake", K.SNAKE)) for c in (K.protect(v, s).alias(n), F.size(K.tokens_of(v, s)).alias(f"{n}_tokens"))]
+    return e.select("row_id", *forms)
+
+
+def repaired_latin(spark, sf_dir):
+    """Texts whose UTF-8 bytes were read as Latin-1, put right again."""
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    bad = F.decode(F.encode(F.col("m_localized"), "UTF-8"), "ISO-8859-1")
+    return e.select("row_id", T.repair_latin1(bad).alias("repaired"))
+
+
+def decoded_strings(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    return e.select("row_id", T.decode_json_string(T.encode_json_string(F.col("m_localized"))).alias("decoded"), T.line_body(F.col("m_localized")).alias("body"))
+
+
+def verified_outputs(spark, sf_dir):
+    """Rows of the written output that aren't what the memory chose."""
+    e = _entries(spark, sf_dir).filter("source is not null").select("row_id", "source")
+    chosen = lookup.exact(e, _memory(spark, sf_dir)).select("row_id", "target")
+    written = lookup.exact(e, _versions(spark, sf_dir, "before")).select("row_id", "target")
+    return coverage.verified(written, chosen, ("row_id",), "target")
+
+
+def routed_assets(spark, sf_dir):
+    assets = table(spark, sf_dir, "localized_entries").select(F.col("asset_file").alias("name")).distinct()
+    named = assets.select(F.concat(F.col("name"), F.lit("-resources.assets-7")).alias("name"))
+    return sinks.routed(assets.unionByName(named))
+
+
+def memory_as_of(spark, sf_dir):
+    """The memory as it stood on a day of the log."""
+    c = table(spark, sf_dir, "change_records").filter("source_text is not null")
+    rows = c.select(F.lit("m").alias("memory_id"), F.col("source_text").alias("source"), F.col("depois").alias("target"), F.struct("changed_at", "change_id").alias("version"))
+    return memories.as_of(rows, F.struct(F.expr("timestamp_ntz'2025-03-01'").alias("changed_at"), F.lit(0).cast("long").alias("change_id"))).select("source", "target")
+
+
 def relocation_counts(spark, sf_dir):
     return summaries.relocation_counts(relocated_names(spark, sf_dir))
 
@@ -481,6 +563,7 @@ _NAMED = (
     punctuation_warnings, values_clean, untranslated_buckets, name_findings, relocated_names, guard_outcomes, decisions, decision_counts, corrected_texts,
     placeholder_reasons, placeholder_names, technical_tokens, stripped_texts, word_counts, lexicon_hits, text_predicates, escaped_texts, cleaned_texts, repaired_texts,
     protected_texts, text_sentences, table_lines, report_lines, memory_json_lines, artifact_state, stale_outputs, status_rollup, event_properties,
+    relocation_by_asset, relocation_by_destination, asset_names, tables_missing_unique, protected_forms, repaired_latin, decoded_strings, verified_outputs, routed_assets, memory_as_of,
     keys_by_source, blank_memory, unfaulted_targets, faulted_targets, file_pairs, relocation_counts, flow_memories, change_log, filled_missing, dialogue_contexts,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _NAMED}

@@ -1,8 +1,8 @@
-"""Parsers of line dumps: state machines over lines, as windows over a file's lines.
+"""Parsers of line dumps: state machines over lines, as states carried along a file's lines.
 
-The input has a row per line: file, line_no, line. Windows are partitioned by file, or by
-file and block, so files are parsed side by side; a state that is carried forward is the last
-non-null value so far.
+The input has a row per line: file, line_no, line. States are carried over chunks of lines
+(operators.ordered), so a file of any size is parsed by many tasks; a state that is carried
+forward is the last non-null value so far. A null line holds nothing.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import scanned
+
 ID_LINE = r"^\s*0 SInt64 m_Id = (-?\d+)\s*$"
 TEXT_LINE = r'^\s*1 string m_Localized = "(.*)"\s*$'
 FIELD_START = r"^\s*0 Field data\s*$"
@@ -27,19 +29,29 @@ def lines_of(texts: DataFrame, file_col: str = "file", text_col: str = "text") -
 
 
 def read_dumps(spark: SparkSession, *paths: str) -> DataFrame:
-    """Lines of dump files: UTF-8, a byte order mark dropped, bytes that aren't UTF-8 read as Latin-1."""
-    files = spark.read.format("binaryFile").load(list(paths))
-    content = F.col("content")
-    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1"))
-    return lines_of(files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.regexp_replace(text, "^﻿", "").alias("text")))
-
-
-def _by_file() -> Window:
-    return Window.partitionBy("file").orderBy("line_no")
+    """Lines of dump files: UTF-8, a byte order mark dropped, files that aren't UTF-8 read as Latin-1.
 
-
-def _so_far(w) -> Window:
-    return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    Files are read in splits; a line's number is its place in its split and the number of lines
+    of the splits before. Lines end at \\n, \\r\\n or \\r.
+    """
+    raw = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_split"), F.col("_metadata.file_size").alias("_size"),
+        F.monotonically_increasing_id().alias("_seq"), F.col("value").cast("binary").alias("_bytes"),
+    )
+    # the last line has no end of its own if the lines with one would be a byte too long; the reader skips a byte order mark of three
+    files = raw.groupBy("_path").agg(F.bool_and(F.is_valid_utf8(F.col("_bytes").cast("string"))).alias("_utf8"), (F.sum(F.octet_length("_bytes") + 1) - F.max("_size")).isin(1, -2).alias("_open"), F.max(F.struct("_split", "_seq")).alias("_last"))
+    joined = raw.join(files, "_path")
+    text = F.when(F.col("_utf8"), F.col("_bytes").cast("string")).otherwise(F.decode("_bytes", "ISO-8859-1"))
+    end = F.when(F.col("_open") & (F.struct("_split", "_seq") == F.col("_last")), "").otherwise("\n")
+    parts = F.regexp_extract_all(F.concat(text, end), F.lit(r"([^\r\n]*(?:\r\n|\n|\r)|[^\r\n]+\z)"), F.lit(1))
+    rows = joined.select("file", "_path", "_split", "_seq", F.posexplode(parts).alias("_i", "_raw"))
+    inside = F.row_number().over(Window.partitionBy("_path", "_split").orderBy("_seq", "_i"))
+    splits = rows.groupBy("_path", "_split").agg(F.count("*").alias("_n"))
+    before = splits.select("_path", "_split", F.coalesce(F.sum("_n").over(Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_inside", inside).join(before, ["_path", "_split"]).withColumn("line_no", (F.col("_inside") + F.col("_before")).cast("long"))
+    line = F.regexp_replace("_raw", r"[\r\n]+\z", "")
+    line = F.when(F.col("line_no") == 1, F.regexp_replace(line, "^\ufeff", "")).otherwise(line)
+    return numbered.select("file", "line_no", line.alias("line"), F.regexp_extract("_raw", r"([\r\n]*)\z", 1).alias("line_end"))
 
 
 def captured(line: Column, pattern: str, group: int = 1) -> Column:
@@ -50,7 +62,7 @@ def localized_entries(lines: DataFrame) -> DataFrame:
     """file, id, text, line_no: each id with the next text; an id without one is dropped, the last of equal ids wins."""
     tagged = lines.withColumn("_id", captured(F.col("line"), ID_LINE)).withColumn("_text", captured(F.col("line"), TEXT_LINE))
     marked = tagged.filter(F.col("_id").isNotNull() | F.col("_text").isNotNull())
-    paired = marked.withColumn("_before", F.lag("_id").over(_by_file())).filter("_text is not null and _before is not null")
+    paired = scanned(marked, lag={"_before": F.col("_id")}).filter("_text is not null and _before is not null")
     return paired.groupBy("file", F.col("_before").alias("id")).agg(F.max_by("_text", "line_no").alias("text"), F.max("line_no").alias("line_no"))
 
 
@@ -60,7 +72,7 @@ def field_blocks(lines: DataFrame, flush_open: bool = True) -> DataFrame:
     A block ends where the next begins. With flush_open false, a block that is followed by
     another without a line of its own in between has no say (it is dropped if it has no type).
     """
-    numbered = lines.withColumn("block_id", F.sum(F.col("line").rlike(FIELD_START).cast("long")).over(_so_far(_by_file()))).filter("block_id > 0")
+    numbered = scanned(lines, count={"block_id": F.when(F.col("line").rlike(FIELD_START), 1)}).filter("block_id > 0")
     blocks = numbered.groupBy("file", "block_id").agg(
         F.max_by(captured(F.col("line"), TITLE_LINE), F.when(F.col("line").rlike(TITLE_LINE), F.col("line_no"))).alias("title"),
         F.max_by(captured(F.col("line"), VALUE_LINE), F.when(F.col("line").rlike(VALUE_LINE), F.col("line_no"))).alias("value"),
@@ -76,8 +88,7 @@ def english_blocks(blocks: DataFrame) -> DataFrame:
 
 def adjacent_values(lines: DataFrame, title: str = "en") -> DataFrame:
     """file, line_no, value, status: the line after each title line, `ok` if it holds a value, else `no_value`."""
-    w = _by_file()
-    ahead = lines.withColumn("_next", F.lead("line").over(w)).withColumn("_next_no", F.lead("line_no").over(w))
+    ahead = scanned(lines, lead={"_next": F.col("line"), "_next_no": F.col("line_no")})
     at = ahead.filter(captured(F.col("line"), TITLE_LINE) == title)
     value = captured(F.col("_next"), VALUE_LINE)
     return at.select("file", F.coalesce("_next_no", "line_no").alias("line_no"), value.alias("value"), F.when(value.isNull(), "no_value").otherwise("ok").alias("status"))
@@ -92,10 +103,8 @@ def text_tables(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("line").rlike(r"vector m_keys"), "keys")
         .when(F.col("line").rlike(r"vector m_values|string m_values"), "values")
     )
-    w = _so_far(_by_file())
     tagged = (
-        lines.withColumn("_section", F.last(section, ignorenulls=True).over(w))
-        .withColumn("field_id", F.sum(F.col("line").contains("TextTableField data").cast("long")).over(w))
+        scanned(lines, last={"_section": section}, count={"field_id": F.when(F.col("line").contains("TextTableField data"), 1)})
         .withColumn("_name", captured(F.col("line"), r'string m_fieldName = "(.*)"\s*$'))
         .withColumn("_text", captured(F.col("line"), r'string data = "(.*)"\s*$'))
         .withColumn("_int", captured(F.col("line"), r"int data = (-?\d+)\s*$").cast("int"))
@@ -114,7 +123,7 @@ def language_texts(languages: DataFrame, fields: DataFrame, language: str = "en"
     ids = languages.filter(F.col("language") == language).select("file", F.col("id").alias("_id"))
     zipped = F.transform("keys", lambda k, i: F.struct(k.alias("k"), i.alias("position"), F.try_element_at("values", i + 1).alias("text")))
     hits = F.filter(zipped, lambda x: (x["k"] == F.col("_id")) & x["text"].isNotNull())
-    rows = fields.join(F.broadcast(ids), "file").select("file", "field_id", "field_name", F.explode(hits if every else F.slice(hits, 1, 1)).alias("x"))
+    rows = fields.join(ids, "file").select("file", "field_id", "field_name", F.explode(hits if every else F.slice(hits, 1, 1)).alias("x"))
     return rows.select("file", "field_id", "field_name", "x.position", "x.text")
 
 
@@ -125,14 +134,9 @@ def dialogue_graph(lines: DataFrame) -> DataFrame:
     fields with one title, the last. A conversation's number stands with each of its entries.
     """
     kind = F.when(F.col("line").rlike(r"^\s*0 Actor data"), "actor").when(F.col("line").rlike(r"^\s*0 Conversation data"), "conversation").when(F.col("line").rlike(r"^\s*0 DialogueEntry data"), "entry")
-    w = _by_file()
     tagged = (
-        lines.withColumn("_kind", kind)
-        .withColumn("entity_id", F.count("_kind").over(_so_far(w)))
-        .withColumn("_conversation", F.last(F.when(F.col("_kind") == "conversation", F.col("line_no")), ignorenulls=True).over(_so_far(w)))
-        .withColumn("_title", captured(F.col("line"), TITLE_LINE))
-        .withColumn("_value", F.when(F.lag(F.col("line").rlike(TITLE_LINE)).over(w), captured(F.col("line"), VALUE_LINE)))
-        .withColumn("_of", F.lag("_title").over(w))
+        scanned(lines.withColumn("_kind", kind), last={"_conversation": F.when(kind == "conversation", F.col("line_no"))}, count={"entity_id": kind}, lag={"_of": captured(F.col("line"), TITLE_LINE)})
+        .withColumn("_value", F.when(F.col("_of").isNotNull(), captured(F.col("line"), VALUE_LINE)))
         .filter("entity_id > 0")
     )
     number = captured(F.col("line"), r"^\s*0 int id = (-?\d+)\s*$")
@@ -166,7 +170,7 @@ def dialogue_contexts(graph: DataFrame, title: str = "en") -> DataFrame:
 def actor_names(lines: DataFrame, excluded: tuple[str, ...] = ("System",)) -> DataFrame:
     """Distinct names of the lines before the first conversation that follow a `Name en` title."""
     first = lines.filter(F.col("line").contains(" 0 Conversation conversations")).groupBy("file").agg(F.min("line_no").alias("_stop"))
-    values = adjacent_values(lines, "Name en").filter("status = 'ok'").join(F.broadcast(first), "file", "left")
+    values = adjacent_values(lines, "Name en").filter("status = 'ok'").join(first, "file", "left")
     name = F.trim("value").alias("name")
     return values.filter("_stop is null or line_no < _stop").select(name).filter(~F.col("name").isin("", *excluded)).distinct()
 

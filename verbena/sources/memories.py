@@ -6,7 +6,7 @@ is the place in the file; a memory is never a dictionary on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMORY = "memory_id string, ord long, source string, target string"
@@ -73,8 +73,9 @@ def replacement_value(value: Column) -> Column:
 
 def as_of(versions: DataFrame, at: Column, key: tuple[str, ...] = ("memory_id", "source"), version: str = "version") -> DataFrame:
     """The rows of each key's last version not after `at`: a snapshot of a versioned memory."""
-    order = Window.partitionBy(*key).orderBy(F.col(version).desc())
-    return versions.filter(F.col(version) <= at).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    rest = [c for c in versions.columns if c not in key]
+    last = versions.filter(F.col(version) <= at).groupBy(*key).agg(F.max_by(F.struct(*rest), version).alias("_r"))  # on the map side first
+    return last.select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in versions.columns])
 
 
 def salvaged_object(answer: Column) -> Column:

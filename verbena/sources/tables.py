@@ -28,7 +28,7 @@ def csv_records(texts: DataFrame, name_col: str = "table_name", text_col: str =
 def csv_rows(records: DataFrame) -> DataFrame:
     """table_name, row_no, key, en, br, cells of rows long enough for them; the header names the columns."""
     head = records.filter("row_no = 0").select("table_name", *[(F.array_position("cells", c) - 1).alias(f"_{c}") for c in REQUIRED])
-    rows = records.filter("row_no > 0").join(F.broadcast(head), "table_name")
+    rows = records.filter("row_no > 0").join(head, "table_name")
     long_enough = F.size("cells") > F.greatest(*[F.col(f"_{c}") for c in REQUIRED])
     return rows.filter(long_enough).select("table_name", "row_no", *[F.get("cells", F.col(f"_{c}").cast("int")).alias(c) for c in REQUIRED], "cells")
 
