@@ -1,6 +1,8 @@
 import itertools
+import math
 import os
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -27,10 +29,39 @@ def test_forward_sums_all_segmentations():
         names = [part[a:b] for a, b in itertools.pairwise(cut)]
         if all(n in models.index for n in names):
             want += np.prod([models.p[models.index[n]] for n in names], axis=0)
-    assert np.allclose(models.forward(part)[-1], want)
+    assert np.allclose(models.forward(part)[-1], np.log(want))
     assert np.isfinite(models.word("q" * 10_000)).all()
 
 
+def test_long_words_are_summed_whole():
+    """A word of 60 letters: the recurrence in exact fractions, all segmentations in."""
+    rng = np.random.default_rng(2)
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "▁ab", "abab", "b" * 25]
+    models = lg.PieceModels(["x", "y"], {p: i for i, p in enumerate(pieces)}, rng.random((len(pieces), 2)))
+    word = "ab" * 10 + "b" * 30 + "ba" * 5
+    for column in range(2):
+        total = [Fraction(1)] + [Fraction(0)] * (len(word) + 1)
+        marked = "▁" + word
+        for j in range(1, len(marked) + 1):
+            total[j] = sum(total[j - len(p)] * Fraction(models.p[k, column]) for k, p in enumerate(pieces) if marked[:j].endswith(p))
+        assert np.isclose(models.word(word)[column], math.log(total[-1]), rtol=1e-12)
+    # both ways of summing agree at the border, and expectations too
+    for n in (lg.PLAIN - 1, lg.PLAIN):
+        counts = np.zeros((len(pieces), 2))
+        lg._expect(models, 0, "▁" + "ab" * n, 1, counts)
+        assert np.isclose(sum(counts[k, 0] * len(p) for k, p in enumerate(pieces)), 2 * n + 1)
+
+
+def test_the_sample_holds_the_smallest_hashes(spark):
+    rows = [(i, f"text {i} {lang}", lang) for i in range(3000) for lang in (("pt",) if i % 100 else ("de",))]
+    documents = spark.createDataFrame([*rows, (9000, "x" * 100, "de"), (9001, None, "de")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([("pt", "pt"), ("de", "de")], "label string, lang string")
+    got = lg.labelled_sample(documents, labels, 20, longest=50)
+    hashed = {(r.lang, r.text): r.h for r in documents.filter("length(text) <= 50").selectExpr("lang", "text", "xxhash64(doc_id) as h").collect()}
+    want = {k for lang in ("pt", "de") for k in sorted((k for k in hashed if k[0] == lang), key=hashed.get)[:20]}
+    assert set(got) == want and len(got) == 40
+
+
 def test_segments_cover_the_text():
     text = 'A. B?\n"C!" D => E\\nF | G'
     assert [text[a:b] for a, b in lg.segments(text)] == ["A.", "B?", '"C!', "D", "E", "F", "G"]

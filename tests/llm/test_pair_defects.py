@@ -1,3 +1,7 @@
+import os
+import random
+import time
+
 import pytest
 
 from verbena.llm import pair_defects as pd_
@@ -59,13 +63,63 @@ def test_alignment(judged):
     judge = judged[2]
     assert pd_.aligned_prefix("a b c d".split(), "a b".split()) == 2
     assert judge.stops_early("um dois tres quatro", "um dois")
+    # a text cut in its middle and padded until its end looks whole
+    assert not judge.stops_early("um dois tres", "um dois tres")
     assert not judge.stops_early("um dois tres", "um tres dois")
     assert not judge.stops_early("um dois tres", "um doiz tres quatro")
 
 
+def plain_prefix(a, d):
+    row = list(range(len(a) + 1))
+    for n, w in enumerate(d, 1):
+        new = [n]
+        for i, x in enumerate(a):
+            new.append(min(row[i + 1] + 1, new[i] + 1, row[i] + (not pd_.same(x, w))))
+        row = new
+    return max(i for i, x in enumerate(row) if x == min(row))
+
+
+def test_alignment_against_the_plain_table():
+    rng = random.Random(1)
+    pool = ["casa", "caso", "casas", "b", "cc", "mapa", "mopa", "x1"]
+    for _ in range(1500):
+        a, d = ([rng.choice(pool) for _ in range(rng.randint(1, 20))] for _ in range(2))
+        assert plain_prefix(a, d) == pd_.aligned_prefix(a, d), (a, d)
+
+
+def test_very_long_pairs_take_seconds(judged):
+    rng = random.Random(2)
+    words = [f"palavra{rng.randint(0, 20_000)}" for _ in range(50_000)]
+    began = time.perf_counter()
+    assert pd_.aligned_prefix(words, words[:40_000]) == 40_000
+    assert judged[2].defect(" ".join(words), " ".join(words[:25_000]).upper() + " fim", None) in ("truncated", "other_language")
+    assert time.perf_counter() - began < 60
+
+
+DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
+REFUSED = [
+    "Perdão, não estou autorizado a reescrever a mensagem enviada.", "I apologize, however I am not permitted to edit the provided text.", "Não será possível atender à sua solicitação de tradução.",
+    "Lo lamento, no estoy autorizado a traducir este contenido.", "Je suis désolé, je ne peux pas corriger cette phrase.", "Ich darf diesen Text nicht korrigieren, tut mir leid.",
+]
+TOLD = [
+    "O guarda disse que não podia abrir a porta da torre.", "A bruxa recusou o mapa e voltou para casa.", "The guard would not open the gate of the old tower.", "Sinto muito, o moleiro vendeu a última lanterna.",
+    "La posadera guardaba la carta en el huerto.", "Die Wirtin wartete hinter der Mühle.",
+]
+
+
+@pytest.mark.skipif(not os.path.exists(DOCUMENTS), reason="no tables here")
+def test_refusals_in_other_words(spark, judged):
+    """Sentences that no example has, held out from the model."""
+    texts = [r.text for r in spark.read.parquet(DOCUMENTS).filter("text is not null").select("text").collect()]
+    judge = pd_.PairJudge(judged[2].model, pd_.learn_refusals(texts), {}, "pt")
+    assert not {t for t in REFUSED} & set(pd_.REFUSALS)
+    assert sum(judge.refuses("O gato subiu no telhado ontem.", t, "The cat went up the roof.") for t in REFUSED) >= len(REFUSED) - 1
+    assert sum(judge.refuses("O gato subiu no telhado ontem.", t, "The cat went up the roof.") for t in TOLD) == 0
+
+
 def test_copied_prompts_do_not_make_ends(judged):
     """The last n-gram of a prompt in very many copies is no certain end for a prompt that goes on after it."""
-    judge = pd_.PairJudge(judged[2].model, {}, "pt")
+    judge = pd_.PairJudge(judged[2].model, judged[2].refusals, {}, "pt")
     gram = pd_.suffixes("Tire o livro da bolsa", judge.n)[-1]
     judge.ends[gram] = (100_000, 100_000)
     assert judge.may_end("Tire o livro da bolsa e coloque na mesa.", "Tire o livro da bolsa") < judge.certain

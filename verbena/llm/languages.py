@@ -3,9 +3,10 @@
 For each language, pieces of a public vocabulary have probabilities; the score of a text is
 the sum over all its segmentations into pieces, computed by the forward algorithm. Pieces
 never cross the border of a word, so the sum of a text is the product of the sums of its
-words, and a worker computes each distinct word once. The probabilities are fitted by
-expectation maximisation on a bounded sample of labelled documents (`per_language` of each,
-chosen by a hash of the id), first as labelled, then with every segment under the language
+words, and a worker computes each distinct word once; words of any length are summed whole, in
+logarithms where they are long. The probabilities are fitted by
+expectation maximisation on a bounded sample of labelled documents (the `per_language` smallest
+hashes of ids of each language, of texts up to `longest` characters), first as labelled, then with every segment under the language
 that scores it best, so wrong labels and mixed documents don't stay in the models.
 
 A document is cut at line breaks, written-out line breaks, sentence ends and the signs that
@@ -28,15 +29,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 WORD = re.compile(r"[^\W\d_]+")
 MARKUP = re.compile(r"\[[^\[\]\s]{1,60}\]|<[^<>\n]{1,60}>|\{[^{}\s]{1,40}\}")
 BORDER = re.compile(r"""\r\n|\n|\r|\t|\\r|\\n|\\t|\s=>\s|\s/\s|\s\|\s|\s=\s"|(?<=[.!?…])["'”’»)\]]*\s+""")
 END = re.compile(r"""[.!?…]["'”’»)\]\s]*$""")
-#: Longer words are scored in parts of this length, so that no sum underflows.
-PART = 32
+#: Longer words are summed in logarithms, so that no sum underflows.
+PLAIN = 32
 KEEP = 300_000
 
 
@@ -68,11 +71,6 @@ def read_pieces(path: str) -> list[str]:
     return sorted({p.lower() for p in kept if re.fullmatch(r"▁?[^\W\d_]*", p) and p})
 
 
-def parts_of(word: str) -> list[str]:
-    marked = "▁" + word
-    return [marked[i : i + PART] for i in range(0, len(marked), PART)]
-
-
 @dataclass
 class PieceModels:
     """Piece probabilities by language, and the sums of words under them."""
@@ -90,26 +88,31 @@ class PieceModels:
     def __getstate__(self):
         return self.__dict__ | {"_cache": {}, "_rows": None}
 
-    def lattice(self, part: str) -> list[tuple[int, int, int]]:
-        """Begin, end and piece of every piece that fits into a part of a word; single characters always do."""
-        out = []
-        for i in range(len(part)):
-            for j in range(i + 1, min(len(part), i + self.longest) + 1):
-                k = self.index.get(part[i:j], -1)
+    def lattice(self, word: str) -> Iterator[tuple[int, int, int]]:
+        """Begin, end and piece of every piece that fits into a word; single characters always do."""
+        for i in range(len(word)):
+            for j in range(i + 1, min(len(word), i + self.longest) + 1):
+                k = self.index.get(word[i:j], -1)
                 if k >= 0 or j == i + 1:
-                    out.append((i, j, k))
-        return out
-
-    def forward(self, part: str) -> np.ndarray:
-        """The sum over all segmentations at each place, for each language."""
-        alpha = np.zeros((len(part) + 1, len(self.languages)))
-        alpha[0] = 1
-        for i, j, k in self.lattice(part):
-            alpha[j] += alpha[i] * (self.p[k] if k >= 0 else self.unknown)
+                    yield i, j, k
+
+    def forward(self, word: str) -> np.ndarray:
+        """The log of the sum over all segmentations up to each place, for each language."""
+        if len(word) <= PLAIN:
+            alpha = np.zeros((len(word) + 1, len(self.languages)))
+            alpha[0] = 1
+            for i, j, k in self.lattice(word):
+                alpha[j] += alpha[i] * (self.p[k] if k >= 0 else self.unknown)
+            return np.log(alpha)
+        logp, unknown = np.log(self.p), np.log(self.unknown)
+        alpha = np.full((len(word) + 1, len(self.languages)), -np.inf)
+        alpha[0] = 0
+        for i, j, k in self.lattice(word):
+            np.logaddexp(alpha[j], alpha[i] + (logp[k] if k >= 0 else unknown), out=alpha[j])
         return alpha
 
     def word(self, word: str) -> np.ndarray:
-        return sum(np.log(self.forward(part)[-1]) for part in parts_of(word))
+        return self.forward("▁" + word)[-1]
 
     def places(self, words: list[str]) -> list[int]:
         """The row of each word's sums in `_rows`; words not met before are summed now."""
@@ -144,16 +147,16 @@ class PieceModels:
 
 def fit(counts: dict[str, Counter], languages: list[str], pieces: list[str], rounds: int = 3, background: float = 0.1) -> PieceModels:
     """Expectation maximisation for each language, mixed with the mean of all languages."""
-    seen = {part[i:j] for c in counts.values() for w in c for part in parts_of(w) for i in range(len(part)) for j in range(i + 1, min(len(part), i + 20) + 1)}
-    used = [p for p in pieces if p in seen]
+    longest, known = max(map(len, pieces), default=0), set(pieces)
+    seen = {g for c in counts.values() for w in c for m in ["▁" + w] for i in range(len(m)) for j in range(i + 1, min(len(m), i + longest) + 1) if (g := m[i:j]) in known}
+    used = sorted(seen)
     index = {p: i for i, p in enumerate(used)}
     models = PieceModels(languages, index, np.full((len(used), len(languages)), 1 / max(1, len(used))))
     for _ in range(rounds):
         expected = np.full_like(models.p, 1e-6)
         for column, language in enumerate(languages):
             for word, n in counts.get(language, {}).items():
-                for part in parts_of(word):
-                    _expect(models, column, part, n, expected)
+                _expect(models, column, "▁" + word, n, expected)
         if not expected.size:
             break
         p = expected / expected.sum(axis=0)
@@ -161,8 +164,21 @@ def fit(counts: dict[str, Counter], languages: list[str], pieces: list[str], rou
     return models
 
 
-def _expect(models: PieceModels, column: int, part: str, n: int, expected: np.ndarray) -> None:
-    lattice, size = models.lattice(part), len(part) + 1
+def _expect(models: PieceModels, column: int, word: str, n: int, expected: np.ndarray) -> None:
+    """Add how often each piece is expected in n times a word."""
+    lattice, size = list(models.lattice(word)), len(word) + 1
+    if len(word) > PLAIN:
+        logs = [np.log(models.p[k, column] if k >= 0 else models.unknown) for _, _, k in lattice]
+        ahead, behind = np.full(size, -np.inf), np.full(size, -np.inf)
+        ahead[0] = behind[-1] = 0
+        for (i, j, _), w in zip(lattice, logs, strict=True):
+            ahead[j] = np.logaddexp(ahead[j], ahead[i] + w)
+        for (i, j, _), w in zip(reversed(lattice), reversed(logs), strict=True):
+            behind[i] = np.logaddexp(behind[i], behind[j] + w)
+        for (i, j, k), w in zip(lattice, logs, strict=True):
+            if k >= 0:
+                expected[k, column] += n * np.exp(ahead[i] + w + behind[j] - ahead[-1])
+        return
     forward, backward = [0.0] * size, [0.0] * size
     forward[0] = backward[-1] = 1.0
     weight = [models.p[k, column] if k >= 0 else models.unknown for _, _, k in lattice]
@@ -176,20 +192,24 @@ def _expect(models: PieceModels, column: int, part: str, n: int, expected: np.nd
                 expected[k, column] += n * forward[i] * w * backward[j] / forward[-1]
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, per_language: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> list[tuple[str, str]]:
-    """Language as labelled and text of about `per_language` documents a language, chosen by a hash of the id.
+def labelled_sample(documents: DataFrame, labels: DataFrame, per_language: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", longest: int = 50_000) -> list[tuple[str, str]]:
+    """Language as labelled and text of the `per_language` documents a language whose ids have the smallest hashes.
 
-    At most 2 * per_language * languages rows reach the driver.
+    Texts of more than `longest` characters aren't fitted on. A threshold on the hash leaves
+    about four times as many documents of each language as are wanted; these are ranked.
     """
     known = labels.select(F.col("label").alias("_label"), F.col("lang").alias("_lang")).distinct()
-    rows = documents.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.col(text_col).alias("_text")).filter("_text is not null and _label is not null")
+    rows = documents.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.col(text_col).alias("_text")).filter(F.col("_label").isNotNull() & (F.char_length("_text") <= longest))
     sizes = {r["_lang"]: r["n"] for r in rows.groupBy("_label").agg(F.count("*").alias("n")).join(known, "_label").groupBy("_lang").agg(F.sum("n").alias("n")).collect()}
     if not sizes:
         return []
-    fraction = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = rows.join(F.broadcast(known), "_label").filter(draw < fraction[F.col("_lang")])  # the labels are a fixed table
-    return [(r["_lang"], r["_text"]) for r in chosen.select("_lang", "_text").limit(2 * per_language * len(sizes)).collect()]
+    # hashes are spread evenly over all longs
+    below = {lang: int(-(2**63) + 2**64 * min(1.0, 4 * per_language / n)) for lang, n in sizes.items()}
+    limit = F.create_map(*[F.lit(x) for lang, t in sorted(below.items()) for x in (lang, min(t, 2**63 - 1))])
+    place = F.xxhash64("_id").alias("_place")
+    chosen = rows.join(F.broadcast(known), "_label").select("_lang", "_text", place).filter(F.col("_place") <= limit[F.col("_lang")])  # the labels are a fixed table
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_place", "_text"))
+    return [(r["_lang"], r["_text"]) for r in chosen.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("_lang", "_text").collect()]
 
 
 def learn(documents: DataFrame, labels: DataFrame, vocabulary: str, per_language: int = 120, relabel: int = 2, min_words: int = 4) -> PieceModels:
@@ -246,6 +266,7 @@ def with_languages(documents: DataFrame, models: PieceModels, id_col: str = "doc
     `margin` is the log of how much better a sentence's language must be than any other for
     the sentence to make a document mixed.
     """
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(models)  # bounded by the vocabulary
     schema = f"`{id_col}` {documents.schema[id_col].dataType.simpleString()}, label string, detected string, confidence double, langs array<struct<lang:string,sentences:int,confidence:double>>"
 
@@ -275,6 +296,7 @@ def with_languages(documents: DataFrame, models: PieceModels, id_col: str = "doc
 
 def with_segments(documents: DataFrame, models: PieceModels, id_col: str = "doc_id", text_col: str = "text", min_words: int = 4) -> DataFrame:
     """id, segment, begin, length, sentence, lang, confidence of each segment of each document."""
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(models)
     names = [id_col, "segment", "begin", "length", "sentence", "lang", "confidence"]
     schema = f"`{id_col}` {documents.schema[id_col].dataType.simpleString()}, segment int, begin int, length int, sentence boolean, lang string, confidence double"
