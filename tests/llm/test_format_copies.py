@@ -11,7 +11,7 @@ def key(text):
     alnum = lambda t: "".join(c for c in t if c.isalpha() or c.isdecimal()).lower()
     if text is None or not alnum(text):
         return None
-    parts = [p for p in re.split(r"[\n\r\t|;,/•·]+|\s[-–—]+\s", text) if alnum(p)]
+    parts = [p for p in re.split(r"[\n\r\t|;,/•·]+|\s[-–—]+\s", re.sub(r"\s*([:=])\s*", r"\1", text)) if alnum(p)]
     if re.search("[:=]", text) and len(parts) > 1 and all(re.fullmatch(r"[^:=]*[:=][^:=]*", p, re.S) and all(alnum(x) for x in re.split("[:=]", p)) for p in parts):
         return ("fields", tuple(sorted(tuple(map(alnum, re.split("[:=]", p))) for p in parts)))
     return alnum(text)
@@ -19,7 +19,7 @@ def key(text):
 
 TEXTS = [
     "Leve o mapa.", "leve  o mapa", "LEVE O\nMAPA!", "leve o mapá", None, "", "  ", "—", "Item: Zavuga; Damage: 31", "damage : 31 | item = ZAVUGA", "Item: Zavuga; Damage: 32", "Item: Zavuga",
-    "x" * 100_000, "X " * 100_000, "x" * 99_999, "a: b, c", "n.º 2", "n º 2", "Ｎ", "𝒳1",
+    "Damage:\t 31\nitem\t= Zavuga", "x" * 100_000, "X " * 100_000, "x" * 99_999, "a: b, c", "n.º 2", "n º 2", "Ｎ", "𝒳1",
 ]
 
 

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from verbena.llm import term_counts as tc
 from verbena.session import scratch
 
@@ -20,7 +22,7 @@ def held(store):
 
 
 def test_deltas_add_change_and_delete(spark):
-    store = tc.TermStore(spark, scratch(spark, "t"), buckets=3)
+    store = tc.TermStore(spark, scratch(spark, "t"))
     first = [("A cat, a CAT!", 2), (None, 5), ("", None), ("dog", 0), ("dog", -4), ("éa b" * 5000, 1), ("x2y", None)]
     df = spark.createDataFrame([(*r, "z") for r in first], "text string, w int, term string")
     store.apply(tc.delta(df, "text", "w"))
@@ -50,3 +52,34 @@ def test_empty(spark):
     store = tc.TermStore(spark, scratch(spark, "t"))
     store.apply(tc.delta(spark.createDataFrame([], "text string, w int"), "text", "w"))
     assert tc.marked(store.read()).count() == 0
+
+
+def test_a_delta_counts_once_and_a_cut_off_merge_leaves_the_former_state(spark):
+    root = scratch(spark, "t")
+    store = tc.TermStore(spark, root)
+    one = tc.delta(spark.createDataFrame([("a b", 1)], "text string, w int"), "text", "w")
+    assert store.apply(one, "first") and not store.apply(one, "first")
+    assert held(store)["a"] == (1, 1)
+    # cut off before its manifest was put in place: the run is there, nobody names it
+    commit = store._commit
+    store._commit = lambda manifest: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError, match="lost"):
+        store.apply(one, "second")
+    store._commit = commit
+    assert held(store)["a"] == (1, 1) and store.apply(one, "second") and held(store)["a"] == (2, 2)
+    # another writer was first
+    other = store.manifest()
+    store.apply(one, "third")
+    with pytest.raises(OSError, match="another"):
+        store._commit({**other, "number": other["number"] + 1})
+    assert store.manifest()["deltas"] == ["first", "second", "third"]
+    store.vacuum()
+    assert held(store)["a"] == (3, 3)
+
+
+def test_runs_stay_few(spark):
+    store = tc.TermStore(spark, scratch(spark, "t"))
+    store.apply(tc.delta(spark.createDataFrame([(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), 1)], "text string, w int"), "text", "w"))
+    for i in range(4):
+        store.apply(tc.delta(spark.createDataFrame([("waa wba", 1)], "text string, w int"), "text", "w"))
+    assert len(store.manifest()["runs"]) == 2 and held(store)["waa"] == (5, 5)

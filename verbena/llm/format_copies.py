@@ -24,10 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import ship, stored
 
 #: Signs that may stand between the fields of a record.
 FIELD_BREAK = r"[\n\r\t|;,/•·]+|\s[-–—]+\s"
+#: White space beside the sign between name and value parts no fields.
+JOINED = r"\s*([:=])\s*"
 #: One `name: value` field; both sides hold a letter or digit.
 FIELD = r"(?s)[^\p{L}\p{Nd}:=]*\p{L}[^:=]*[:=][^:=]*[\p{L}\p{Nd}][^:=]*"
 
@@ -45,7 +47,7 @@ def alnum(text: Column) -> Column:
 def canonical_key(text: Column) -> Column:
     """What two copies have in common; null for texts without letter or digit."""
     plain = alnum(text)
-    parts = F.filter(F.split(text, FIELD_BREAK), lambda p: p.rlike(r"[\p{L}\p{Nd}]"))
+    parts = F.filter(F.split(F.regexp_replace(text, JOINED, "$1"), FIELD_BREAK), lambda p: p.rlike(r"[\p{L}\p{Nd}]"))
     fielded = text.rlike("[:=]") & (F.size(parts) >= 2) & F.forall(parts, lambda p: p.rlike("^" + FIELD + "$"))
     fields = F.transform(parts, lambda p: F.concat(alnum(F.regexp_extract(p, r"(?s)^([^:=]*)", 1)), F.lit("\u0001"), alnum(F.regexp_extract(p, r"(?s)^[^:=]*[:=](.*)$", 1))))
     key = F.when(fielded, F.array_join(F.array_sort(fields), "\u0002")).otherwise(plain)
@@ -138,7 +140,10 @@ def _table_of(key: str) -> Column:
 
 
 def _scanned(records: DataFrame, scan: Callable) -> DataFrame:
-    ordered = records.repartitionByRange("key", "row").sortWithinPartitions("key", "row")
+    ship(records.sparkSession)
+    # the sampler of ranges reads its input as well: it gets the keys from files, so that they are computed once
+    keyed = stored(records, "keys")
+    ordered = keyed.repartitionByRange("key", "row").sortWithinPartitions("key", "row")
     return stored(ordered.mapInArrow(scan, SCAN_DDL), "runs")
 
 

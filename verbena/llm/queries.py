@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +42,18 @@ def p1_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by two deltas: the rows of all days but the last ones; then the late rows, and those of the day
+    before, which a loader delivers once more, as changed records: withdrawn and added again."""
     missing = table(spark, sf_dir, "missing_text").select("source_text", "occ_count", "loaded_at")
-    newest = missing.agg(F.max("loaded_at") - F.expr(f"interval {LAST_DELTA_DAYS} days")).first()[0]
-    late = F.coalesce(F.col("loaded_at") > F.lit(newest), F.lit(False))
+    newest = missing.agg(F.max("loaded_at")).first()[0]
+    loaded = F.coalesce(F.col("loaded_at"), F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    first = (newest or datetime(1970, 1, 1)) - timedelta(days=LAST_DELTA_DAYS)
+    late, again = loaded > F.lit(first), (loaded <= F.lit(first)) & (loaded > F.lit(first - timedelta(days=1)))
+    signs = F.when(again, F.array(F.lit(-1), F.lit(1))).otherwise(F.array(F.lit(1)))
+    changes = missing.filter(late | again).select("source_text", "occ_count", F.explode(signs).alias("sign"))
     store = term_counts.TermStore(spark, scratch(spark, "terms"))
-    for part in (~late, late):
-        store.apply(term_counts.delta(missing.filter(part), "source_text", "occ_count"))
+    store.apply(term_counts.delta(missing.filter(~late), "source_text", "occ_count"), "all days")
+    store.apply(term_counts.delta(changes, "source_text", "occ_count", "sign"), "last days")
     return term_counts.marked(store.read())
 
 
@@ -160,7 +167,7 @@ with t as (
   union all select 'missing_text', row_id, asset, source_text from missing_text),
 p as (
   select *, lower(regexp_replace(x, '[^\pL\p{Nd}]', '', 'g')) as plain,
-    list_filter(regexp_split_to_array(x, '[\n\r\t|;,/•·]+|\s[-–—]+\s'), lambda q: regexp_matches(q, '[\pL\p{Nd}]')) as parts
+    list_filter(regexp_split_to_array(regexp_replace(x, '\s*([:=])\s*', '\1', 'g'), '[\n\r\t|;,/•·]+|\s[-–—]+\s'), lambda q: regexp_matches(q, '[\pL\p{Nd}]')) as parts
   from t where x is not null),
 k as (
   select table_name, row_id, g,
