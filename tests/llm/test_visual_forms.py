@@ -1,3 +1,4 @@
+import random
 import unicodedata
 
 import pytest
@@ -32,7 +33,48 @@ def test_kept(text):
 
 def test_no_conflicts():
     single = {k for k in vf.mapping() if len(k) == 1}
-    assert not any(single & set(v) for v in vf.mapping().values())
+    assert not any(single & set(v) for v, _ in vf.mapping().values())
+    with pytest.raises(ValueError, match="mapped twice"):
+        vf.checked([*vf.rules(), ("\u3000", "x", vf.ALWAYS)])
+    with pytest.raises(ValueError, match="mapped again"):
+        vf.checked([("x", "y", vf.ALWAYS), ("y", "z", vf.ALWAYS)])
+
+
+LOOK_ALIKE = {
+    "pαth": "path", "ρaper": "paper", "νalue": "value", "ɑpple": "apple", "ʀed": "red", "Ꭺbc": "Abc", "a аррӏе": "a apple", "ΑΒ e": "AB e", "ꓡima": "Lima", "օvo": "ovo",
+    "Ⅳ": "IV", "Ⅹ e ⅰ": "X e i",
+}
+OTHER_SCRIPTS = ["και e", "α-helix", "kΩ", "5 μs", "ʀɛd", "Добрый day", "Ꮳꮃꭹ e", "жaба", "ɑ e", "аррӏе", "Δt"]
+
+
+@pytest.mark.parametrize(("text", "form"), LOOK_ALIKE.items())
+def test_look_alikes(text, form):
+    assert vf.transducer().run(text) == (form, True) and vf.transducer().run(form) == (form, False)
+
+
+@pytest.mark.parametrize("text", OTHER_SCRIPTS)
+def test_words_truly_written_in_another_script(text):
+    assert vf.transducer().run(text) == (text, False)
+
+
+def test_forms_are_the_texts_that_were_retyped():
+    """Plain texts retyped with every rule's characters at random come back as they were, and a form is its own form."""
+    rng = random.Random(6)
+    back: dict[str, list[str]] = {}
+    for source, (new, condition) in vf.mapping().items():
+        if new and not (condition == vf.NEAR_LETTER):
+            back.setdefault(new, []).append(source)
+    right = 0
+    for _ in range(2000):
+        plain = " ".join(rng.choice(["Você", "leva", "o mapa", "até", "a", "ponte", "Bring", "the", "Xavier", "8", "não"]) for _ in range(6))
+        typed, pieces = list(plain), rng.sample(range(len(plain)), 3)
+        for i in pieces:
+            if typed[i] in back:
+                typed[i] = rng.choice(back[typed[i]])
+        got, changed = vf.transducer().run("".join(typed))
+        right += got == plain and changed == ("".join(typed) != plain)
+        assert vf.transducer().run(got) == (got, False)
+    assert right >= 0.99 * 2000
 
 
 def test_records(spark):
