@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from ..session import stored
 
 #: Separator put for a comma outside quotes; MARK in the data is doubled by an escape first.
 MARK = "\u0001"
 FIELDS = ("table_name", "entry_key", "source_text", "row_no", "occ_count")
+#: Places of the fields that are cast, value by value.
+CASTABLE = (0, 3, 4)
 MAX_INT = 2147483647
 
 
@@ -88,9 +91,17 @@ def parse_lines(raw: DataFrame, id_col: str = "line_id", line_col: str = "raw_li
     )
 
 
+def parsed_once(raw: DataFrame, id_col: str, line_col: str, whole: bool) -> DataFrame:
+    """The parsed lines, written once for the passes that follow: the castable fields, and with `whole` the texts too."""
+    parsed = parse_lines(raw, id_col, line_col)
+    wanted = range(len(FIELDS)) if whole else CASTABLE
+    sound = F.col("structural").isNull()
+    return stored(parsed.select("line_id", "structural", *[F.when(sound, F.col("fields")[i]).alias(FIELDS[i]) for i in wanted]), "parsed")
+
+
 def _castable(parsed: DataFrame) -> DataFrame:
     """One row for each line and castable column: line_id, col, value."""
-    pairs = F.array(*[F.struct(F.lit(FIELDS[i]).alias("col"), F.col("fields")[i].alias("value")) for i in (0, 3, 4)])
+    pairs = F.array(*[F.struct(F.lit(FIELDS[i]).alias("col"), F.col(FIELDS[i]).alias("value")) for i in CASTABLE])
     return (
         parsed.filter(F.col("structural").isNull())
         .select("line_id", F.explode(pairs).alias("p"))
@@ -116,7 +127,7 @@ def invalid_values(parsed: DataFrame, scan_tables: DataFrame) -> DataFrame:
 
 def failures(raw: DataFrame, scan_tables: DataFrame, id_col: str = "line_id", line_col: str = "raw_line") -> DataFrame:
     """line_id, reason, detail: one row for each line that can't be loaded."""
-    parsed = parse_lines(raw, id_col, line_col)
+    parsed = parsed_once(raw, id_col, line_col, whole=False)
     structural = parsed.filter(F.col("structural").isNotNull()).select(
         "line_id", F.col("structural").alias("reason"), F.lit(None).cast("string").alias("detail")
     )
@@ -127,11 +138,10 @@ def failures(raw: DataFrame, scan_tables: DataFrame, id_col: str = "line_id", li
 
 def loaded(raw: DataFrame, scan_tables: DataFrame, id_col: str = "line_id", line_col: str = "raw_line") -> DataFrame:
     """The valid lines as typed rows."""
-    parsed = parse_lines(raw, id_col, line_col)
+    parsed = parsed_once(raw, id_col, line_col, whole=True)
     bad = _castable(parsed).join(invalid_values(parsed, scan_tables), ["col", "value"]).select("line_id").distinct()
-    fields = F.col("fields")
     return (
         parsed.filter(F.col("structural").isNull())
         .join(bad, "line_id", "left_anti")
-        .select("line_id", *[fields[i].alias(n) for i, n in enumerate(FIELDS[:3])], *[F.expr(f"try_cast(fields[{i}] as int)").alias(FIELDS[i]) for i in (3, 4)])
+        .select("line_id", *FIELDS[:3], *[F.expr(f"try_cast({n} as int)").alias(n) for n in FIELDS[3:]])
     )
