@@ -10,21 +10,22 @@ from pyspark.sql import functions as F
 from .functions import lexicon
 from .functions import text as T
 from .functions import tokens as K
+from .functions.udfs import unescape_python
 from .operators import audits, coverage, guards, lookup, maintenance, parse_failures, placeholders, rules, summaries
 from .queries_sql import SQL as _SQL
 from .session import spread, table
-from .sources import dumps, memories, sinks
+from .sources import dumps, memories, sinks, tables
 from .streaming import enrichment
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, tables = table(spark, sf_dir, "missing_raw"), table(spark, sf_dir, "scan_tables")
-    return parse_failures.failures(raw, tables).select("line_id", "reason")
+    raw, known = table(spark, sf_dir, "missing_raw"), table(spark, sf_dir, "scan_tables")
+    return parse_failures.failures(raw, known).select("line_id", "reason")
 
 
 def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, tables = table(spark, sf_dir, "missing_raw"), table(spark, sf_dir, "scan_tables")
-    return parse_failures.loaded(raw, tables)
+    raw, known = table(spark, sf_dir, "missing_raw"), table(spark, sf_dir, "scan_tables")
+    return parse_failures.loaded(raw, known)
 
 
 # The tables as memories, entries and dumps
@@ -518,6 +519,90 @@ def memory_as_of(spark, sf_dir):
     return memories.as_of(rows, F.struct(F.expr("timestamp_ntz'2025-03-01'").alias("changed_at"), F.lit(0).cast("long").alias("change_id"))).select("source", "target")
 
 
+def _text_table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text tables, a file for each asset: three languages, and a field with its texts for each entry."""
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null and m_id is not null")
+    head = [
+        "1 vector m_languageKeys", '1 string data = "en"', '1 string data = "pt-BR"', '1 string data = "de"', "1 vector m_languageValues", "0 int data = 7", "0 int data = 2", "0 int data = 5",
+    ]
+    files = e.select(F.col("asset_file").alias("file")).distinct().select("file", F.posexplode(F.array(*map(F.lit, head))).alias("i", "line")).select("file", F.col("i").cast("long").alias("line_no"), "line")
+    text = T.escape_dump(F.col("m_localized"))
+    shown = lambda c: F.concat(F.lit('1 string data = "'), c, F.lit('"'))
+    body = F.array(
+        F.lit("1 TextTableField data"), F.concat(F.lit('1 string m_fieldName = "'), "m_id", F.lit('"')), F.lit("0 vector m_keys"), F.lit("0 int data = 2"), F.lit("0 int data = 7"),
+        F.lit("0 string m_values"), shown(text), shown(F.concat(F.lit("en: "), text)),
+    )
+    fields = e.select(F.col("asset_file").alias("file"), "row_id", F.posexplode(body).alias("i", "line")).select("file", (F.col("row_id") * 10 + 100 + F.col("i")).alias("line_no"), "line")
+    return files.unionByName(fields)
+
+
+def text_table_languages(spark, sf_dir):
+    return dumps.text_tables(_text_table_dump(spark, sf_dir))[0]
+
+
+def text_table_texts(spark, sf_dir):
+    languages, fields = dumps.text_tables(_text_table_dump(spark, sf_dir))
+    return dumps.language_texts(languages, fields, "en").select("file", "field_id", "field_name", "position", "text")
+
+
+def dump_actor_names(spark, sf_dir):
+    return dumps.actor_names(_graph_dump(spark, sf_dir))
+
+
+def csv_cells(spark, sf_dir):
+    """Cells of CSV texts: each entry as a text of a header and a row that may hold commas, quotes and line breaks."""
+    e = table(spark, sf_dir, "missing_text").filter("source_text is not null")
+    text = F.concat(F.lit("\ufeffkey,en,br\r\n"), F.array_join(F.transform(F.array(F.col("row_id").cast("string"), F.col("source_text"), F.lit("")), T.csv_cell), ","), F.lit("\r\n"))
+    return tables.csv_rows(tables.csv_records(e.select(F.col("row_id").cast("string").alias("table_name"), text.alias("text")))).select("table_name", "row_no", "key", "en", "br")
+
+
+def report_entries(spark, sf_dir):
+    """Scan reports by flow and by table, written as JSON and read again."""
+    e = _entries(spark, sf_dir).filter("source is not null")
+    flows = F.to_json(F.struct(F.array(F.struct(F.col("flow").alias("Flow"), F.array(F.struct(F.col("asset").alias("Asset"), F.col("source").alias("Source"), F.lit(2).alias("Count"))).alias("Missing"))).alias("Flows")))
+    return tables.flow_report(e.select(flows.alias("value"))).groupBy("flow", "asset", "source").agg(F.sum("occ_count").alias("n"))
+
+
+def catalog_names(spark, sf_dir):
+    ids = table(spark, sf_dir, "localized_entries").filter("asset_file is not null").select(F.concat(F.lit("Assets/Data/TextTable/"), "asset_file", F.lit(".asset")).alias("id")).distinct()
+    return tables.catalog_names(ids.select(F.to_json(F.struct(F.array("id").alias("m_InternalIds"))).alias("value")))
+
+
+def salvaged_answers(spark, sf_dir):
+    """The objects of answers that stand between other words."""
+    c = _changes(spark, sf_dir).filter("after is not null")
+    answer = F.concat(F.lit("Segue o resultado:\n"), F.to_json(F.struct(F.col("after").alias("v"))), F.lit("\nok"))
+    return c.select("change_id", F.get_json_object(memories.salvaged_object(answer), "$.v").alias("v"), memories.salvaged_object(F.lit("no object")).alias("none"))
+
+
+def unescaped_texts(spark, sf_dir):
+    """Texts with every character beyond ASCII written as an escape, read as a Python string; an ellipsis keeps their bytes from being put right."""
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    point = lambda c: F.concat(F.lit("\\U"), F.lpad(F.hex(F.ascii(c)), 8, "0"))
+    written = F.array_join(F.transform(F.split(F.concat(F.replace("m_localized", F.lit("\\"), F.lit("\\\\")), F.lit("…")), ""), lambda c: F.when(F.ascii(c) > 126, point(c)).otherwise(c)), "")
+    return e.select("row_id", unescape_python(written).alias("text"))
+
+
+def memory_members(spark, sf_dir):
+    return lookup.marked_members(_entries(spark, sf_dir).select("row_id", "source"), _memory(spark, sf_dir))
+
+
+def outer_spaces(spark, sf_dir):
+    e = table(spark, sf_dir, "localized_entries").filter("m_localized is not null")
+    before, core, after = T.outer_space(F.concat(F.lit(" \t"), F.col("m_localized")))
+    return e.select("row_id", F.length(before).alias("before"), core.alias("core"), F.length(after).alias("after"))
+
+
+def translated_names(spark, sf_dir):
+    """Missing texts through a translator that puts them in capitals, tokens protected."""
+    capitals = lambda texts: texts.str.upper()
+    return enrichment.translated(_entries(spark, sf_dir), capitals, style=K.MARKUP)
+
+
+def first_sources(spark, sf_dir):
+    return summaries.first_entries(_memory(spark, sf_dir).select("source", "ord"), 100)
+
+
 def relocation_counts(spark, sf_dir):
     return summaries.relocation_counts(relocated_names(spark, sf_dir))
 
@@ -563,7 +648,8 @@ _NAMED = (
     punctuation_warnings, values_clean, untranslated_buckets, name_findings, relocated_names, guard_outcomes, decisions, decision_counts, corrected_texts,
     placeholder_reasons, placeholder_names, technical_tokens, stripped_texts, word_counts, lexicon_hits, text_predicates, escaped_texts, cleaned_texts, repaired_texts,
     protected_texts, text_sentences, table_lines, report_lines, memory_json_lines, artifact_state, stale_outputs, status_rollup, event_properties,
-    relocation_by_asset, relocation_by_destination, asset_names, tables_missing_unique, protected_forms, repaired_latin, decoded_strings, verified_outputs, routed_assets, memory_as_of,
+    relocation_by_asset, relocation_by_destination, text_table_languages, text_table_texts, dump_actor_names, csv_cells, report_entries, catalog_names, salvaged_answers, unescaped_texts, memory_members, outer_spaces, translated_names, first_sources,
+    asset_names, tables_missing_unique, protected_forms, repaired_latin, decoded_strings, verified_outputs, routed_assets, memory_as_of,
     keys_by_source, blank_memory, unfaulted_targets, faulted_targets, file_pairs, relocation_counts, flow_memories, change_log, filled_missing, dialogue_contexts,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _NAMED}

@@ -222,6 +222,20 @@ SQL: dict[str, str] = {
         coalesce((select string_agg(distinct n, ',' order by n) from (select unnest(string_split(y.mentioned_in, ',')) as n from z y where y.asset = z.asset and y.mentioned_in is not null)), '') as mentioned_files
       from z group by asset""",
     "relocation_by_destination": _BY_ASSET + """ select asset, name as destination, count(*) filter (e) as exact, count(*) filter (not e) as mentioned from s0 join h using (source) group by 1, 2""",
+    "text_table_languages": f"with f as (select distinct asset_file as file {_LE} and m_id is not null) select file, l.language, l.id from f, (values ('en', 7), ('pt-BR', 2), ('de', 5)) as l(language, id)",
+    "text_table_texts": f"select asset_file as file, row_number() over (partition by asset_file order by row_id) as field_id, m_id as field_name, 1 as position, 'en: ' || {dump('m_localized')} as text {_LE} and m_id is not null",
+    "dump_actor_names": f"select distinct {trim('actor_name')} as name from dialogue_fields join actors using (actor_id) where field_title = 'en' and field_value is not null and {trim('actor_name')} not in ('', 'System')",
+    "csv_cells": "select cast(row_id as varchar) as table_name, 1 as row_no, cast(row_id as varchar) as key, source_text as en, '' as br from missing_text where source_text is not null",
+    "report_entries": "select flow, asset, source_text as source, cast(2 * count(*) as bigint) as n from missing_text where source_text is not null group by all",
+    "catalog_names": "select distinct asset_file || '.asset' as name from localized_entries where asset_file is not null",
+    "salvaged_answers": "select change_id, depois as v, cast(null as varchar) as none from change_records where depois is not null",
+    "unescaped_texts": f"select row_id, m_localized || '…' as text {_LE}",
+    "memory_members": f"{MEM} select row_id, source_text as source, coalesce(source_text in (select source from mem), false) as in_memory from missing_text",
+    "outer_spaces": f"with t as (select row_id, ' ' || chr(9) || m_localized as v, {trim('m_localized')} as core {_LE}) select row_id, cast(case when core = '' then length(v) else length(v) - length(regexp_replace(v, '^{WS}+', '')) end as integer) as before, core, cast(case when core = '' then 0 else length(v) - length(regexp_replace(v, '{WS}+$', '')) end as integer) as after from t",
+    "translated_names": rf"""with s as (select distinct source_text as source from missing_text where not {blank('source_text')}),
+      p as (select source, regexp_extract_all(source, '{_MARKUP}') as t, regexp_split_to_array(source, '{_MARKUP}') as x from s)
+      select source, upper(x[1]) || array_to_string(list_transform(range(1, len(x)), lambda i: t[i] || upper(x[i + 1])), '') as target, 'ok' as status from p""",
+    "first_sources": f"{MEM} select source, ord from mem order by ord limit 100",
     "asset_names": "with a as (select distinct asset as name from missing_text where asset is not null), b as (select distinct asset_file as name from localized_entries where asset_file is not null) select coalesce(a.name, b.name) as name, case when b.name is null then 'removed' when a.name is null then 'added' else 'both' end as side from a full join b on a.name = b.name",
     "tables_missing_unique": f"{MEM}, g as (select source from mem where {usable('target')}), m as (select source_text as en from missing_text where flow = 'chef' and not {blank('source_text')} and source_text not in (select source from g)) select count(*) as missing, count(distinct en) as missing_unique from m",
     "protected_forms": rf"""with t as (select row_id, m_localized || ' (snake_case) (Word)' || chr(10) || '[name]<a b>{{x}}' as v {_LE}),
