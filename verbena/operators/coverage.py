@@ -86,11 +86,9 @@ def artifact_state(current: DataFrame, previous: DataFrame) -> DataFrame:
 PIECE = 5
 
 
-def _pieces(text: Column, length: Column) -> Column:
-    """Each distinct run of `length` characters of a text."""
-    chars = F.split(text, "")
-    starts = F.when(F.size(chars) >= length, F.sequence(F.lit(1), F.size(chars) - length + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, length), "")))
+def _pieces(text: Column, length: int) -> Column:
+    """Each distinct run of `length` characters of a text: one pass, looking ahead at every place."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1)))
 
 
 def containing(strings: DataFrame, texts: DataFrame) -> DataFrame:
@@ -102,12 +100,13 @@ def containing(strings: DataFrame, texts: DataFrame) -> DataFrame:
     s = strings.select("source").filter("source is not null and source <> ''").distinct()
     t = texts.select("text").filter("text is not null").distinct()
     length = F.least(F.char_length("source"), F.lit(PIECE))
-    of_strings = s.select("source", length.alias("_len"), F.explode(_pieces(F.col("source"), length)).alias("_piece"))
     used = sorted(r.n for r in s.select(length.alias("n")).distinct().collect())  # at most PIECE rows
     if not used:
         return t.select(F.lit("").alias("source"), "text").filter(F.lit(False))
+    own = F.coalesce(*[F.when(length == n, _pieces(F.col("source"), n)) for n in used])
+    of_strings = s.select("source", F.explode(own).alias("_piece"))
     # a text goes by its hash until its pieces are joined; texts of one hash are told apart at the end
-    of_texts = t.select(F.xxhash64("text").alias("_hash"), F.explode(F.flatten(F.array(*[_pieces(F.col("text"), F.lit(n)) for n in used]))).alias("_piece"))
+    of_texts = t.select(F.xxhash64("text").alias("_hash"), F.explode(F.flatten(F.array(*[_pieces(F.col("text"), n) for n in used]))).alias("_piece"))
     counted = of_texts.join(of_strings.select("_piece").distinct(), "_piece", "left_semi").groupBy("_piece").agg(F.count("*").alias("_n"))
     # a piece that no text has makes its string's places none at once
     probes = of_strings.join(counted, "_piece", "left").groupBy("source").agg(F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), F.col("_piece"))).alias("_piece"))
