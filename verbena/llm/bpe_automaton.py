@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 NEVER = 1 << 60
 #: Words and transitions that a worker keeps; beyond, it forgets them all and starts anew.
 KEEP = 400_000
@@ -155,6 +157,7 @@ def built(shared) -> Automaton:
 
 
 def _tokenized(df: DataFrame, text_col: str, vocabulary: str, pattern: str, result: str, counts: bool) -> DataFrame:
+    ship(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in (text_col, result)]
     schema = T.StructType([*kept, T.StructField(result, T.LongType() if counts else T.ArrayType(T.IntegerType()))])
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))  # bounded by the vocabulary: 50,000 labels
@@ -183,6 +186,7 @@ def with_token_count(df: DataFrame, text_col: str, vocabulary: str, pattern: str
 
 def with_text(df: DataFrame, ids_col: str, vocabulary: str, result: str = "text") -> DataFrame:
     """df with the decoded text in place of the token ids."""
+    ship(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in (ids_col, result)]
     schema = T.StructType([*kept, T.StructField(result, T.StringType())])
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
