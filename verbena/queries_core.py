@@ -233,7 +233,7 @@ def rule_counts(spark, sf_dir):
 def _audited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Portuguese fields, and answers of the log with their English source."""
     answers = _changes(spark, sf_dir).select((-F.col("change_id")).alias("ord"), F.coalesce("source", F.lit("")).alias("source"), F.col("after").alias("target")).filter("target is not null")
-    return _portuguese(spark, sf_dir).select("ord", "source", "target").unionByName(answers)
+    return _portuguese(spark, sf_dir).select("ord", "source", "target").unionByName(spread(answers))
 
 
 def rule_candidates(spark, sf_dir):
