@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, placeholders, rules
+from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, placeholders, rules, substrings
 from verbena.plans import pipelines
 from verbena.streaming import enrichment
 
@@ -347,6 +347,32 @@ def test_relocation_by_asset_and_binaries(spark):
     assert {tuple(r) for r in coverage.relocation_by_destination(strings, relocated).collect()} == {("a1", "f1", 1, 0), ("a1", "f2", 0, 1), ("a1", "f3", 0, 1), ("a2", "f2", 0, 1), ("a2", "f3", 0, 1)}
 
 
+def test_relocation_shuffles_no_pieces(spark):
+    """A text's pieces aren't exploded into rows; what leaves the scan is little more than what is held."""
+    strings = spark.createDataFrame([("a1", f"string number {i}") for i in range(300)] + [("a1", "o")], "asset string, source string")
+    files = spark.createDataFrame([(f"f{i % 7}", "lorem ipsum " * 40 + f"string number {i} dolor") for i in range(200)], "name string, text string")
+    relocated = coverage.relocation(strings, files)
+    assert "Generate" not in relocated._jdf.queryExecution().executedPlan().toString()
+    held = sum(s in t for (s,) in strings.select("source").collect() for (t,) in files.select("text").collect())
+    assert held <= substrings.candidates(strings, files).count() <= held * 1.1
+    row = coverage.relocation_by_asset(strings, relocated).first()
+    assert (row.strings, row.exact, row.mentioned, row.nowhere, row.mentioned_files) == (301, 0, 201, 100, "f0,f1,f2,f3,f4,f5,f6")
+
+
+def test_relocation_in_ranges_and_over_borders(spark, monkeypatch):
+    """Strings over the borders of scanned blocks, longer than a block, not of whole characters' lengths, and in several ranges."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdé") for _ in range(2 * substrings.BLOCK))
+    border = len(long.encode()[: substrings.BLOCK].decode(errors="ignore"))
+    strings = [long[border - 5 : border + 5], long[border - 300 : border + 1], long[-7:], long[:9], long[3 : border + 1000], "absent", long[border - 60 : border] + "x", "é" * 40]
+    files = [("f1", long), ("f2", long[border - 5 : border + 5]), ("f3", ""), ("f4", "é" * 41)]
+    for size in (substrings.RANGE, 3):
+        monkeypatch.setattr(substrings, "RANGE", size)
+        got = {(r.source, r.exact_in, r.mentioned_in) for r in coverage.relocation(spark.createDataFrame([(s,) for s in strings], "source string"), spark.createDataFrame(files, "name string, text string")).collect()}
+        join = lambda x: ",".join(x) or None
+        assert got == {(s, join(n for n, t in files if s == t), join(n for n, t in files if s in t and s != t)) for s in strings}
+
+
 def test_name_sets_and_totals(spark, memory):
     a, b = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (["x", "y", "y", None], ["y", "z"]))
     assert {tuple(r) for r in maintenance.name_sets(a, b).collect()} == {("x", "removed"), ("y", "both"), ("z", "added")}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from . import lookup
+from . import lookup, substrings
 
 
 def by_flow(entries: DataFrame, memory: DataFrame, keys=lookup.escaped_forms, flow: str = "flow", asset: str = "asset") -> DataFrame:
@@ -82,52 +82,21 @@ def artifact_state(current: DataFrame, previous: DataFrame) -> DataFrame:
     return joined.select("flow", "name", "sha256", F.coalesce(F.col("_old") != F.col("sha256"), F.lit(False)).alias("changed"), F.col("_old").isNull().alias("no_history"))
 
 
-#: Length of the pieces by which a string's likely places are found; shorter strings are their own piece.
-PIECE = 5
-
-
-def _pieces(text: Column, length: int) -> Column:
-    """Each distinct run of `length` characters of a text: one pass, looking ahead at every place."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1)))
-
-
-def containing(strings: DataFrame, texts: DataFrame) -> DataFrame:
-    """source, text of each distinct text that holds a string (source), as part of a word too; complete for every string.
-
-    Each string is looked for by the rarest of its pieces, counted over all texts, so that no
-    text is compared with a string whose rarest piece it lacks. Pieces are joined by equality.
-    """
-    s = strings.select("source").filter("source is not null and source <> ''").distinct()
-    t = texts.select("text").filter("text is not null").distinct()
-    length = F.least(F.char_length("source"), F.lit(PIECE))
-    used = sorted(r.n for r in s.select(length.alias("n")).distinct().collect())  # at most PIECE rows
-    if not used:
-        return t.select(F.lit("").alias("source"), "text").filter(F.lit(False))
-    own = F.coalesce(*[F.when(length == n, _pieces(F.col("source"), n)) for n in used])
-    of_strings = s.select("source", F.explode(own).alias("_piece"))
-    # a text goes by its hash until its pieces are joined; texts of one hash are told apart at the end
-    of_texts = t.select(F.xxhash64("text").alias("_hash"), F.explode(F.flatten(F.array(*[_pieces(F.col("text"), n) for n in used]))).alias("_piece"))
-    counted = of_texts.join(of_strings.select("_piece").distinct(), "_piece", "left_semi").groupBy("_piece").agg(F.count("*").alias("_n"))
-    # a piece that no text has makes its string's places none at once
-    probes = of_strings.join(counted, "_piece", "left").groupBy("source").agg(F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), F.col("_piece"))).alias("_piece"))
-    likely = of_texts.join(probes, "_piece").select("_hash", "source").distinct()
-    return likely.join(t.withColumn("_hash", F.xxhash64("text")), "_hash").filter(F.contains("text", "source")).select("source", "text")
-
-
 def relocation(strings: DataFrame, files: DataFrame, text_col: str = "source") -> DataFrame:
     """source, exact_in, mentioned_in: names of files that hold a string as an entry, and of others that hold it within one.
 
     `files` has name and text, a row per entry. Every string is searched for in every entry, as
     part of a word too; a file counts as exact or as mentioning, string by string. Null and
-    empty strings are left out, repeated ones stand once; null texts hold nothing.
+    empty strings are left out, repeated ones stand once; null texts hold nothing. Texts are scanned,
+    not cut into pieces (`substrings`): only bytes that a string may have are shuffled.
     """
     s = strings.select(F.col(text_col).alias("source")).filter("source is not null and source <> ''").distinct()
-    f = files.select("name", "text").filter("text is not null").distinct()
-    held = containing(s, f).join(f, "text").groupBy("source", "name").agg(F.bool_or(F.col("text") == F.col("source")).alias("_exact"))
-    names = lambda hit: F.array_join(F.array_sort(F.collect_set(F.when(hit, F.col("name")))), ",")
-    places = held.groupBy("source").agg(names(F.col("_exact")).alias("exact_in"), names(~F.col("_exact")).alias("mentioned_in"))
+    hits = substrings.candidates(s, files.select("name", "text").filter("name is not null"))
+    held = hits.groupBy("found", "name").agg(F.bool_or("whole").alias("_exact"))
+    names = lambda hit: F.array_join(F.sort_array(F.collect_list(F.when(hit, F.col("name")))), ",")
+    places = held.groupBy("found").agg(names(F.col("_exact")).alias("exact_in"), names(~F.col("_exact")).alias("mentioned_in"))
     blank = lambda c: F.when(F.col(c) != "", F.col(c)).alias(c)
-    return s.join(places, "source", "left").select("source", blank("exact_in"), blank("mentioned_in"))
+    return s.join(places, F.col("source").cast("binary") == F.col("found"), "left").select("source", blank("exact_in"), blank("mentioned_in"))
 
 
 def binary_windows(binaries: DataFrame, strings: DataFrame, size: int = 1 << 16) -> DataFrame:
@@ -142,8 +111,8 @@ def binary_places(strings: DataFrame, binaries: DataFrame) -> DataFrame:
     s = strings.select("source").filter("source is not null and source <> ''").distinct()
     shown = s.select("source", F.decode(F.encode("source", "UTF-8"), "ISO-8859-1").alias("_shown"))
     windows = binary_windows(binaries, s)
-    held = containing(shown.select(F.col("_shown").alias("source")), windows).join(windows, "text").select(F.col("source").alias("_shown"), "name").distinct()
-    return held.join(shown, "_shown").select("source", "name")
+    held = substrings.candidates(shown.select(F.col("_shown").alias("source")), windows).select("name", "found").distinct()
+    return held.join(shown, F.col("found") == F.col("_shown").cast("binary")).select("source", "name")
 
 
 def relocation_by_asset(strings: DataFrame, relocated: DataFrame, binary: DataFrame | None = None) -> DataFrame:
@@ -156,7 +125,7 @@ def relocation_by_asset(strings: DataFrame, relocated: DataFrame, binary: DataFr
     places = binary.groupBy("source").agg(F.count("*").alias("_b")) if binary is not None else None
     s = s.join(places, "source", "left") if places is not None else s.withColumn("_b", F.lit(None).cast("long"))
     exact, mentioned = F.col("exact_in").isNotNull(), F.col("mentioned_in").isNotNull()
-    files = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(c, ","))))), ",")
+    files = lambda c: F.array_join(F.sort_array(F.array_distinct(F.split(F.array_join(F.collect_list(c), ","), ","))), ",")
     return s.groupBy("asset").agg(
         F.count("*").alias("strings"),
         F.count_if(exact).alias("exact"),
