@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from verbena import queries_core
 from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, placeholders, rules, substrings
 from verbena.plans import pipelines
 from verbena.streaming import enrichment
@@ -373,6 +374,17 @@ def test_relocation_in_ranges_and_over_borders(spark, monkeypatch):
         assert got == {(s, join(n for n, t in files if s == t), join(n for n, t in files if s in t and s != t)) for s in strings}
 
 
+@pytest.mark.parametrize(
+    ("query", "exploded"),
+    [
+        ("relocated_names", 0),
+    ],
+)
+def test_relocation_queries_explode_no_texts(spark, query, exploded):
+    plan = queries_core.QUERIES[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == exploded and plan.count("MapInArrow") == 1
+
+
 def test_name_sets_and_totals(spark, memory):
     a, b = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (["x", "y", "y", None], ["y", "z"]))
     assert {tuple(r) for r in maintenance.name_sets(a, b).collect()} == {("x", "removed"), ("y", "both"), ("z", "added")}
