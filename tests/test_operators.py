@@ -378,6 +378,7 @@ def test_relocation_in_ranges_and_over_borders(spark, monkeypatch):
     ("query", "exploded"),
     [
         ("relocated_names", 0),
+        ("relocation_counts", 0),
     ],
 )
 def test_relocation_queries_explode_no_texts(spark, query, exploded):
