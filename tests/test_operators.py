@@ -379,6 +379,7 @@ def test_relocation_in_ranges_and_over_borders(spark, monkeypatch):
     [
         ("relocated_names", 0),
         ("relocation_counts", 0),
+        ("relocation_by_destination", 1),  # of the lists of files
     ],
 )
 def test_relocation_queries_explode_no_texts(spark, query, exploded):
