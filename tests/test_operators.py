@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verbena import queries_core
-from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, placeholders, rules, substrings
+from verbena.operators import audits, coverage, guards, lookup, maintenance, ordered, pair_counts, placeholders, rules, substrings
 from verbena.plans import pipelines
 from verbena.streaming import enrichment
 
@@ -387,6 +387,37 @@ def test_relocation_queries_explode_no_texts(spark, query, exploded):
     assert plan.count("Generate ") == exploded and plan.count("MapInArrow") == 1
 
 
+def _shuffled(node):
+    """Rows written by all exchanges of a plan that has run."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled(node.plan())
+    children = node.children()
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_destinations_are_summed_where_pairs_are_made(spark, monkeypatch):
+    """An asset without a name, several strings of an asset in one file, batches cut within an asset; pairs aren't shuffled."""
+    monkeypatch.setattr(pair_counts, "ROWS", 7)
+    strings = [(f"a{i}", x) for i in range(100) for x in ("No", "mapa", f"own {i}")] + [(None, "No"), (None, "No"), ("a0", "absent"), ("b", "absent")]
+    files = [(f"f{i:03d}", x) for i in range(150) for x in ("No", f"o mapa {i}" if i % 3 else "mapa")] + [("f000", "own 5"), ("only", "No, own 7")]
+    s, f = spark.createDataFrame(strings, "asset string, source string"), spark.createDataFrame(files, "name string, text string")
+    want = {}
+    for asset, source in set(strings):
+        exact = {n for n, t in files if t == source}
+        for name in {n for n, t in files if source in t}:
+            e, m = want.get((asset, name), (0, 0))
+            want[asset, name] = (e + (name in exact), m + (name not in exact))
+    out = coverage.relocation_by_destination(s, coverage.relocation(s, f))
+    got = out.collect()
+    assert out.columns == ["asset", "destination", "exact", "mentioned"] and len(got) == len(want) > 15_000
+    assert {(r.asset, r.destination): (r.exact, r.mentioned) for r in got} == want
+    assert _shuffled(out._jdf.queryExecution().executedPlan()) < len(want) / 3
+
+
 def test_name_sets_and_totals(spark, memory):
     a, b = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (["x", "y", "y", None], ["y", "z"]))
     assert {tuple(r) for r in maintenance.name_sets(a, b).collect()} == {("x", "removed"), ("y", "both"), ("z", "added")}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from . import lookup, substrings
+from . import lookup, pair_counts, substrings
 
 
 def by_flow(entries: DataFrame, memory: DataFrame, keys=lookup.escaped_forms, flow: str = "flow", asset: str = "asset") -> DataFrame:
@@ -138,8 +138,13 @@ def relocation_by_asset(strings: DataFrame, relocated: DataFrame, binary: DataFr
 
 
 def relocation_by_destination(strings: DataFrame, relocated: DataFrame) -> DataFrame:
-    """asset, destination, exact, mentioned: how many of an asset's distinct strings each file holds, and how."""
-    s = strings.select("asset", "source").filter("source is not null and source <> ''").distinct().join(relocated, "source")
-    places = lambda c, kind: F.transform(F.coalesce(F.split(c, ","), F.array().cast("array<string>")), lambda x: F.struct(x.alias("d"), F.lit(kind).alias("k")))
-    rows = s.select("asset", F.explode(F.concat(places("exact_in", "exact"), places("mentioned_in", "mentioned"))).alias("x"))
-    return rows.groupBy("asset", F.col("x.d").alias("destination")).agg(F.count_if(F.col("x.k") == "exact").alias("exact"), F.count_if(F.col("x.k") == "mentioned").alias("mentioned"))
+    """asset, destination, exact, mentioned: how many of an asset's distinct strings each file holds, and how.
+
+    The rows grow as the square of the tables, for a word like `No` is in many assets and files; they are
+    made where they are summed (`pair_counts`).
+    """
+    s = strings.select("asset", "source").filter("source is not null and source <> ''").distinct()
+    assets = s.groupBy("source").agg(F.collect_list(F.struct("asset")).alias("assets"))
+    places = lambda c: F.coalesce(F.split(c, ","), F.array().cast("array<string>")).alias(c)
+    held = relocated.filter("exact_in is not null or mentioned_in is not null").join(assets, "source").select("assets", places("exact_in"), places("mentioned_in"))
+    return pair_counts.by_pair(held, "assets", "exact_in", "mentioned_in").toDF("asset", "destination", "exact", "mentioned")
